@@ -1,0 +1 @@
+"""Empty on purpose: releases are yearly batch snapshots, so there is nothing to stream."""
