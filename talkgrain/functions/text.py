@@ -1,14 +1,18 @@
 """Column expressions for words. All are built-in functions, so they stay in generated code."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A word is a maximal run of Unicode letters, digits or apostrophes, lower-cased.
 WORD_PATTERN = r"[\p{L}\p{N}']+"
 
-# The only letter whose lower case holds a character outside WORD_PATTERN (a combining dot).
-# Lower-casing it before the words are cut would cut one word in two.
-SPLITTING_CAPITAL = "İ"
+# The letters whose lower case is not the same in a text as in a word cut from
+# it. The first becomes two characters, one of which ends a word; the second depends on its
+# neighbours, also across a full stop.
+CONTEXT_CAPITALS = ("İ", "Σ")
 
 
 def _runs(text: Column) -> Column:
@@ -17,11 +21,10 @@ def _runs(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The lower-cased words of a text, in order. NULL text gives NULL."""
-    # Lower-casing the text once is cheaper than lower-casing each word, and gives the same
-    # words for every text without the one capital above.
-    return F.when(
-        F.contains(text, F.lit(SPLITTING_CAPITAL)), F.transform(_runs(text), F.lower)
-    ).otherwise(_runs(F.lower(text)))
+    # Lower-casing a text once is cheaper than lower-casing each of its words, and gives the
+    # same words where none of the capitals above occur.
+    in_context = reduce(or_, (F.contains(text, F.lit(capital)) for capital in CONTEXT_CAPITALS))
+    return F.when(in_context, F.transform(_runs(text), F.lower)).otherwise(_runs(F.lower(text)))
 
 
 def word_count(text: Column) -> Column:

@@ -12,6 +12,7 @@ def compare_releases(
     keys: Sequence[str],
     attrs: Sequence[str] = (),
     moved_by: Sequence[str] = ("collection",),
+    digests: Sequence[str] = (),
 ) -> DataFrame:
     """The status of every key: added, removed, moved, revised or same.
 
@@ -23,12 +24,25 @@ def compare_releases(
     join and also holds where a join does not: NULL keys meet, and a key that is repeated many
     times on both sides is folded before the shuffle instead of being paired with itself. Every
     step is a count, so all of it is hash aggregation with a partial step.
+
+    ``digests`` names wide STRING attributes, such as a whole text, to compare by SHA-256: then
+    32 bytes are shuffled for each instead of the value. All others are compared as they are.
     """
+    if not set(digests) <= set(attrs):
+        raise ValueError("digests must name attributes")
     moving = [name for name in attrs if name in moved_by]
     columns = [*keys, *attrs]
-    stacked = old.select(*columns, F.lit(1).alias("in_old"), F.lit(0).alias("in_new")).unionByName(
-        new.select(*columns, F.lit(0).alias("in_old"), F.lit(1).alias("in_new"))
-    )
+
+    def side(release: DataFrame, in_old: int, in_new: int) -> DataFrame:
+        compared = [
+            F.unhex(F.sha2(name, 256)).alias(name) if name in digests else F.col(name)
+            for name in columns
+        ]
+        return release.select(
+            *compared, F.lit(in_old).alias("in_old"), F.lit(in_new).alias("in_new")
+        )
+
+    stacked = side(old, 1, 0).unionByName(side(new, 0, 1))
     # Rows that are alike in keys and attributes: unequal numbers mean something differs.
     per_row = stacked.groupBy(*columns).agg(
         F.sum("in_old").alias("n_old"), F.sum("in_new").alias("n_new")

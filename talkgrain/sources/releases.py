@@ -24,7 +24,7 @@ def read_release(
     table: str,
     version: str | None = None,
     manifest: str | None = None,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """Scan one table of one release, by default the manifest's current one.
 
@@ -43,7 +43,7 @@ def read_release(
 
 
 def read_releases(
-    spark: SparkSession, base: str, table: str, schema: T.StructType | None = None
+    spark: SparkSession, base: str, table: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
     """Scan one table of all releases, told apart by the ``release`` column."""
     return _reader(spark, table, schema).parquet(f"{base}/{table}")
@@ -69,7 +69,9 @@ def mirror_release(
     database, or ``read_release`` bound to another store. Returns the rows written per table,
     counted in the file footers of the copy.
 
-    The reads share no snapshot, so mirror finished releases only; those do not change.
+    The reads share no snapshot, so mirror finished releases only; those do not change. Name
+    the release in the manifest of the copy after this has returned: readers find releases by
+    the manifest, so they never see one that is half written. A run that failed is repeated.
     """
     written = {}
     for table in tables:
@@ -78,9 +80,11 @@ def mirror_release(
     return written
 
 
-def _reader(spark: SparkSession, table: str, schema: T.StructType | None):
+def _reader(spark: SparkSession, table: str, schema: T.StructType | str | None):
+    columns = ENTITIES[table] if schema is None else schema
+    if isinstance(columns, str):
+        columns = T.StructType.fromDDL(columns)
     # The release is always STRING. Left to inference, "2018.10" would be read as 2018.1.
-    columns = schema or ENTITIES[table]
     return spark.read.schema(T.StructType([*columns, T.StructField("release", T.StringType())]))
 
 

@@ -4,6 +4,7 @@ The layout of the files is the caller's: ``TranscriptLayout`` names the fields,
 built in.
 """
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,21 +38,21 @@ class TranscriptLayout:
             raise ValueError("utterances that are rows need a field for their order")
 
 
-def ingest_transcripts(spark: SparkSession, path: str, layout: TranscriptLayout) -> DataFrame:
+def ingest_transcripts(
+    spark: SparkSession, path: str, layout: TranscriptLayout, split_files: bool = False
+) -> DataFrame:
     """The utterances of the transcript files under ``path``.
 
     Gives ``transcript_id``, ``utterance_order``, ``speaker`` and ``text``; ``tokens`` makes
     the token table from them. A file that does not parse stops the run instead of leaving
-    rows of NULLs. The files are shared out over the tasks; one file is read by one task, row
-    by row, so with ``row_tag`` the utterance element a long transcript is never held whole.
+    rows of NULLs.
+
+    The files are shared out over the tasks, and a file is read by one task, row by row. For
+    files too large for that, ``split_files`` cuts UTF-8 files at the closing tags of the rows,
+    so that many tasks share one file. It stops the run where a row is not closed by exactly
+    ``</row_tag>``, such as an empty ``<row_tag/>``; the other way reads those.
     """
-    rows = (
-        spark.read.schema(layout.schema)
-        .format("xml")
-        .option("rowTag", layout.row_tag)
-        .option("mode", "FAILFAST")
-        .load(path)
-    )
+    rows = _split_scan(spark, path, layout) if split_files else _scan(spark, path, layout)
     if layout.utterances is None:
         parts = rows
         field = F.col
@@ -75,3 +76,30 @@ def ingest_transcripts(spark: SparkSession, path: str, layout: TranscriptLayout)
         field(layout.speaker).alias("speaker"),
         text.alias("text"),
     )
+
+
+def _scan(spark: SparkSession, path: str, layout: TranscriptLayout) -> DataFrame:
+    return (
+        spark.read.schema(layout.schema)
+        .format("xml")
+        .option("rowTag", layout.row_tag)
+        .option("mode", "FAILFAST")
+        .load(path)
+    )
+
+
+def _split_scan(spark: SparkSession, path: str, layout: TranscriptLayout) -> DataFrame:
+    closing = f"</{layout.row_tag}>"
+    opening = rf"<{re.escape(layout.row_tag)}[\s/>]"
+    pieces = spark.read.option("lineSep", closing).text(path)
+    openings = F.regexp_count("value", F.lit(opening))
+    unclosed = F.raise_error(F.lit(f"a row is not closed by {closing}: read with split_files=False"))
+    # What follows the last row of a file opens none.
+    row = F.when(openings > 1, unclosed).otherwise(
+        F.concat(F.regexp_extract("value", rf"(?s){opening}.*", 0), F.lit(closing))
+    )
+    return (
+        pieces.where(openings > 0)
+        .select(F.from_xml(row, layout.schema, {"mode": "FAILFAST"}).alias("row"))
+        .select("row.*")
+    )

@@ -1,0 +1,154 @@
+"""What the physical plans must and must not hold."""
+
+import contextlib
+import io
+
+import pytest
+
+import __spark_entry__ as driver
+import talkgrain as tg
+from talkgrain.plans import configured
+from talkgrain.plans.session import LARGE, SETTINGS
+from talkgrain.sources.shared import shared_folder
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
+
+
+def steps(df):
+    """The tree at the top of the plan, one line per step."""
+    return plan(df).split("\n\n\n")[0]
+
+
+def utterances(spark):
+    return driver._utterances(spark, SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, name):
+    tree = steps(driver.queries()[name](spark, SF_DIR))
+    for step in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "ArrowEval", "SortAggregate"):
+        assert step not in tree
+
+
+def test_counts_do_not_explode_words(spark):
+    for df in (
+        tg.mlu_w(utterances(spark)),
+        tg.population_utterances(utterances(spark), ["speaker"]),
+        tg.population_tokens(utterances(spark), ["speaker"]),
+        tg.growth_curve(utterances(spark), "mlu_w", "utterance_order"),
+    ):
+        assert "Generate" not in steps(df)
+
+
+def test_counts_read_only_what_they_need(spark):
+    assert "ReadSchema: struct<role:string>" in plan(
+        tg.population_utterances(utterances(spark), ["speaker"])
+    )
+    assert "ReadSchema: struct<role:string,text:string>" in plan(tg.mlu_w(utterances(spark)))
+
+
+@pytest.mark.parametrize(
+    "measure, shuffles", [(tg.mlu_w, 1), (tg.word_frequency, 1), (tg.type_token_ratio, 2)]
+)
+def test_measures_fold_before_each_shuffle(spark, measure, shuffles):
+    tree = steps(measure(utterances(spark)))
+    assert tree.count("Exchange") == shuffles
+    assert tree.count("HashAggregate") == 2 * shuffles
+
+
+def test_filters_reach_the_scan(spark):
+    df = tg.for_speakers(tg.spread(utterances(spark)), ["user", "system"])
+    assert "PushedFilters: [In(role, [system,user])]" in plan(df)
+    lines = tg.for_corpora(driver._lines(spark, SF_DIR), ["src1"])
+    assert "EqualTo(source,src1)" in plan(lines)
+
+
+def test_only_the_directory_of_the_release_is_listed(spark):
+    base = driver._release_store(spark, SF_DIR)
+    text = plan(tg.read_release(spark, base, "utterances", "2019.1").select("speaker"))
+    assert "PartitionFilters" in text and "release" in text.split("PartitionFilters")[1]
+    assert "release=2019.1" in text and "release=2018.1" not in text
+    assert "ReadSchema: struct<speaker:string>" in text
+
+
+def test_all_releases_are_pruned_by_partition(spark):
+    base = driver._release_store(spark, SF_DIR)
+    text = plan(tg.read_releases(spark, base, "utterances").where("release = '2018.1'"))
+    assert "PartitionFilters: [isnotnull(release" in text
+
+
+def test_a_large_corpus_table_is_not_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        for name in ("with_corpus", "with_corpus_salted", "population"):
+            assert "Broadcast" not in steps(driver.queries()[name](spark, SF_DIR))
+        salted = plan(driver.queries()["with_corpus_salted"](spark, SF_DIR))
+        assert "hashpartitioning(transcript_id" in salted and "salt#" in salted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_population_joins_counts_and_not_text(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = steps(
+            tg.population(
+                driver._lines(spark, SF_DIR).drop("corpus"), driver._transcripts(spark, SF_DIR)
+            )
+        )
+        join = tree.index("SortMergeJoin")
+        assert "HashAggregate" in tree[:join] and "HashAggregate" in tree[join:]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_digests_keep_wide_text_out_of_the_shuffle(spark):
+    text = plan(driver.queries()["compare_releases"](spark, SF_DIR))
+    assert "unhex(sha2(" in text
+
+
+def test_only_a_scan_in_few_pieces_is_spread(spark):
+    few = spark.range(0, 1000, 1, numPartitions=2)
+    many = spark.range(0, 1000, 1, numPartitions=64)
+    assert "Exchange" in steps(tg.spread(few))
+    assert tg.spread(many) is many
+    assert tg.spread(few).count() == 1000
+
+
+def test_derived_tables_go_to_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert one.startswith(f"{root}/x-") and one != two
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Context:
+        master = "yarn"
+
+    class Settings:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext = Context()
+        conf = Settings()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(), "x")
+
+
+def test_settings():
+    class Builder(dict):
+        def config(self, key, value):
+            self[key] = value
+            return self
+
+    assert dict(configured(Builder())) == SETTINGS
+    assert dict(configured(Builder(), large=True)) == {**SETTINGS, **LARGE}
