@@ -8,18 +8,18 @@ Each takes utterances with ``text``; a ``words`` or ``n_tokens`` column that is
 (see ``tokenize``) is used instead of cutting the text again.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.functions.text import array_length, ratio, word_count, words
+from talkgrain.functions.text import array_length, ratio, runs, word_count
 
 
 def word_frequency(utterances: DataFrame, by: Sequence[str] = ("speaker",)) -> DataFrame:
     """How often each word occurs in the utterances of each group."""
     return (
-        utterances.select(*by, F.explode(_words(utterances)).alias("word"))
+        _exploded(utterances, by, F.explode)
         .groupBy(*by, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -43,7 +43,7 @@ def type_token_ratio(utterances: DataFrame, by: Sequence[str] = ("speaker",)) ->
     # Counting each word first keeps the shuffle on (group, word): the distinct words of a hot
     # group are spread over all tasks, and only their counts meet.
     per_word = (
-        utterances.select(*by, F.explode_outer(_words(utterances)).alias("word"))
+        _exploded(utterances, by, F.explode_outer)
         .groupBy(*by, "word")
         .agg(F.count("word").alias("n"))
     )
@@ -120,8 +120,15 @@ def growth_curve(
     return MEASURES[measure](binned, keys).orderBy(*keys)
 
 
-def _words(utterances: DataFrame) -> Column:
-    return F.col("words") if "words" in utterances.columns else words(F.col("text"))
+def _exploded(
+    utterances: DataFrame, by: Sequence[str], explode: Callable[[Column], Column]
+) -> DataFrame:
+    """The grouping columns and ``word``, one row per word."""
+    if "words" in utterances.columns:
+        return utterances.select(*by, explode(F.col("words")).alias("word"))
+    return utterances.select(*by, explode(runs(F.col("text"))).alias("run")).select(
+        *by, F.lower("run").alias("word")
+    )
 
 
 def _counted(utterances: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.functions.text import array_length, words
+from talkgrain.functions.text import array_length, runs, words
 
 
 def tokenize(utterances: DataFrame) -> DataFrame:
@@ -15,19 +15,21 @@ def tokenize(utterances: DataFrame) -> DataFrame:
 
 def tokens(utterances: DataFrame) -> DataFrame:
     """One row per word, with its position in the utterance counted from 1."""
-    if "words" not in utterances.columns:
-        utterances = utterances.withColumn("words", words(F.col("text")))
+    if "words" in utterances.columns:
+        array, word = F.col("words"), F.col("word")
+    else:
+        array, word = runs(F.col("text")), F.lower("word").alias("word")
     return utterances.select(
         "transcript_id",
         "utterance_order",
         "speaker",
-        F.posexplode("words").alias("position", "word"),
+        F.posexplode(array).alias("position", "word"),
     ).select(
         "transcript_id",
         "utterance_order",
         "speaker",
         (F.col("position") + 1).cast("long").alias("token_order"),
-        "word",
+        word,
     )
 
 

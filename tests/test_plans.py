@@ -47,6 +47,30 @@ def test_counts_do_not_explode_words(spark):
         assert "Generate" not in steps(df)
 
 
+def test_words_are_cut_in_generated_code(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the marks are not shown
+    try:
+        for df in (
+            tg.word_frequency(utterances(spark)),
+            tg.type_token_ratio(utterances(spark)),
+            tg.mlu_w(utterances(spark)),
+            tg.tokens(utterances(spark)),
+            tg.tokenize(utterances(spark)),
+            tg.lines_as_utterances(driver._documents(spark, SF_DIR)),
+        ):
+            text = io.StringIO()
+            with contextlib.redirect_stdout(text):
+                df.explain()
+            cutting = [
+                line
+                for line in text.getvalue().splitlines()
+                if " Generate " in line or "regexp_extract_all" in line
+            ]
+            assert cutting and all("*(" in line.split(") ")[0] for line in cutting)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_counts_read_only_what_they_need(spark):
     assert "ReadSchema: struct<role:string>" in plan(
         tg.population_utterances(utterances(spark), ["speaker"])
