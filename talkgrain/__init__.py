@@ -22,6 +22,7 @@ from talkgrain.operators import (
 from talkgrain.sources import (
     JdbcSplit,
     TranscriptLayout,
+    broadcast_if_small,
     ingest_transcripts,
     jdbc_tables,
     load_manifest,
@@ -37,6 +38,7 @@ from talkgrain.sources import (
 __all__ = [
     "JdbcSplit",
     "TranscriptLayout",
+    "broadcast_if_small",
     "compare_releases",
     "for_corpora",
     "for_speakers",

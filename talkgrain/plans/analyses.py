@@ -10,7 +10,7 @@ from talkgrain.operators.utterances import with_corpus
 from talkgrain.operators.versions import stamp_release
 from talkgrain.sources.manifest import load_manifest, resolve_release
 from talkgrain.sources.releases import read_release
-from talkgrain.sources.scans import spread
+from talkgrain.sources.scans import broadcast_if_small, spread
 
 
 def frequency(
@@ -75,6 +75,8 @@ def _utterances(
     utterances = spread(utterances)
     if corpora is None:
         return utterances
-    # The corpora are picked on the transcripts, before any text is cut into words.
+    # The corpora are picked on the transcripts, before any text is cut into words, and if the
+    # picked transcripts fit in memory, without a shuffle of the text.
     transcripts = for_corpora(read_release(spark, base, "transcripts", release), corpora)
-    return with_corpus(utterances, transcripts)
+    picked = broadcast_if_small(transcripts.select("transcript_id", "corpus"))
+    return with_corpus(utterances, picked)

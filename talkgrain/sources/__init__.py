@@ -6,12 +6,13 @@ from talkgrain.sources.releases import (
     read_releases,
     write_release,
 )
-from talkgrain.sources.scans import spread
+from talkgrain.sources.scans import broadcast_if_small, spread
 from talkgrain.sources.xml import TranscriptLayout, ingest_transcripts
 
 __all__ = [
     "JdbcSplit",
     "TranscriptLayout",
+    "broadcast_if_small",
     "ingest_transcripts",
     "jdbc_tables",
     "load_manifest",

@@ -1,6 +1,16 @@
-"""Help for scans that arrive in too few pieces."""
+"""Help for scans that arrive in too few pieces, and for lookup tables that may be small."""
+
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# What a row costs in a broadcast table beside the bytes of its strings, rounded up.
+ROW_BYTES, COLUMN_BYTES = 32, 16
+
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -17,3 +27,19 @@ def spread(scan: DataFrame) -> DataFrame:
     if splits >= scan.sparkSession.sparkContext.defaultParallelism:
         return scan
     return scan.hint("rebalance")
+
+
+def broadcast_if_small(lookup: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a filtered lookup table for broadcast if its rows are measured to fit in ``limit``.
+
+    Spark plans with the size of the files, before the filter, and so would shuffle a huge
+    table to meet a few rows of a large one. This reads the lookup table once more, to add up
+    the real size of what the filter leaves. Over the limit it is returned as it is.
+    """
+    strings = [f.name for f in lookup.schema if isinstance(f.dataType, T.StringType)]
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in lookup.schema):
+        return lookup
+    fixed = F.lit(ROW_BYTES + COLUMN_BYTES * len(lookup.columns)).cast("long")
+    row = reduce(add, (F.coalesce(F.octet_length(s), F.lit(0)) for s in strings), fixed)
+    measured = lookup.agg(F.sum(row)).head()[0] or 0
+    return F.broadcast(lookup) if measured <= limit else lookup

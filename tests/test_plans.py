@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 import talkgrain as tg
+from talkgrain import plans
 from talkgrain.plans import configured
 from talkgrain.plans.session import LARGE, SETTINGS
 from talkgrain.sources.shared import shared_folder
@@ -146,6 +147,35 @@ def test_only_a_scan_in_few_pieces_is_spread(spark):
     assert tg.spread(few).count() == 1000
 
 
+def test_a_lookup_is_broadcast_only_if_measured_small(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = driver._lines(spark, SF_DIR).drop("corpus")
+        picked = tg.for_corpora(driver._transcripts(spark, SF_DIR), ["src1", "src2"])
+        small = tg.with_corpus(lines, tg.broadcast_if_small(picked))
+        # 32 + 2 * 16 bytes for a row and its columns, and the 4 letters of the name.
+        exact = (32 + 2 * 16 + 4) * picked.count()
+        at_limit = tg.with_corpus(lines, tg.broadcast_if_small(picked, exact))
+        large = tg.with_corpus(lines, tg.broadcast_if_small(picked, exact - 1))
+        assert "BroadcastHashJoin" in steps(small) and "BroadcastHashJoin" in steps(at_limit)
+        assert "SortMergeJoin" in steps(large)
+        assert small.exceptAll(large).count() == large.exceptAll(small).count() == 0
+        nested = picked.selectExpr("transcript_id", "corpus", "array(corpus) AS names")
+        assert tg.broadcast_if_small(nested) is nested
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_analysis_of_some_corpora_does_not_shuffle_the_text(spark):
+    base = driver._release_store(spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = steps(plans.frequency(spark, base, corpora=["src0"]))
+        assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_derived_tables_go_to_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
