@@ -26,12 +26,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---------------------------------------------------------------- views of the given tables
 
 
+# Stated, so that no job runs to infer them.
+_DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+_CONVERSATIONS = "conv_id long, turn long, role string, text string"
+
 # The measures cut text into words, which is worth spreading over all cores first; a filter, a
 # line count or a copy of the rows is not.
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.schema(_DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +47,8 @@ def _spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+    conversations = spark.read.schema(_CONVERSATIONS).parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.select(
         F.col("conv_id").alias("transcript_id"),
         F.col("turn").alias("utterance_order"),
         F.col("role").alias("speaker"),

@@ -30,6 +30,7 @@ from talkgrain.sources import (
     read_release,
     read_release_jdbc,
     read_releases,
+    release_table,
     resolve_release,
     spread,
     write_release,
@@ -56,6 +57,7 @@ __all__ = [
     "read_release",
     "read_release_jdbc",
     "read_releases",
+    "release_table",
     "resolve_release",
     "spread",
     "stamp_release",

@@ -9,7 +9,7 @@ from talkgrain.operators.measures import growth_curve, population, word_frequenc
 from talkgrain.operators.utterances import with_corpus
 from talkgrain.operators.versions import stamp_release
 from talkgrain.sources.manifest import load_manifest, resolve_release
-from talkgrain.sources.releases import read_release
+from talkgrain.sources.releases import release_table
 from talkgrain.sources.scans import broadcast_if_small, spread
 
 
@@ -51,7 +51,7 @@ def population_properties(
 ) -> DataFrame:
     """Number of utterances and of words by corpus and speaker."""
     release = _release(spark, base, version)
-    transcripts = read_release(spark, base, "transcripts", release)
+    transcripts = release_table(spark, base, "transcripts", release)
     if corpora is not None:
         transcripts = for_corpora(transcripts, corpora)
     utterances = _utterances(spark, base, release, speakers)
@@ -69,7 +69,7 @@ def _utterances(
     speakers: Iterable[str] | None,
     corpora: Iterable[str] | None = None,
 ) -> DataFrame:
-    utterances = read_release(spark, base, "utterances", release)
+    utterances = release_table(spark, base, "utterances", release)
     if speakers is not None:
         utterances = for_speakers(utterances, speakers)
     utterances = spread(utterances)
@@ -77,6 +77,6 @@ def _utterances(
         return utterances
     # The corpora are picked on the transcripts, before any text is cut into words, and if the
     # picked transcripts fit in memory, without a shuffle of the text.
-    transcripts = for_corpora(read_release(spark, base, "transcripts", release), corpora)
+    transcripts = for_corpora(release_table(spark, base, "transcripts", release), corpora)
     picked = broadcast_if_small(transcripts.select("transcript_id", "corpus"))
     return with_corpus(utterances, picked)

@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot transcript in with_corpus even if a later step then needs a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Cutting words is slow enough to be worth a task for little text.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -15,7 +17,7 @@ SETTINGS = {
 # shuffle, so word_frequency moves fewer rows; and many small reduce partitions are merged
 # by size instead of kept for the sake of parallelism.
 LARGE = {
-    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.shuffle.partitions": "10000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",

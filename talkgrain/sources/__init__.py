@@ -4,6 +4,7 @@ from talkgrain.sources.releases import (
     mirror_release,
     read_release,
     read_releases,
+    release_table,
     write_release,
 )
 from talkgrain.sources.scans import broadcast_if_small, spread
@@ -20,6 +21,7 @@ __all__ = [
     "read_release",
     "read_release_jdbc",
     "read_releases",
+    "release_table",
     "resolve_release",
     "spread",
     "write_release",

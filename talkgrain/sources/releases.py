@@ -26,14 +26,23 @@ def read_release(
     manifest: str | None = None,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Scan one table of one release, by default the manifest's current one.
+    """Scan one table of one release, by default the manifest's current one."""
+    known = load_manifest(spark, manifest or f"{base}/manifest.json")
+    return release_table(spark, base, table, resolve_release(known, version), schema)
+
+
+def release_table(
+    spark: SparkSession,
+    base: str,
+    table: str,
+    release: str,
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
+    """Scan one table of a release that is already resolved.
 
     Only the directory of that release is listed; the other releases, whose files may number
     in the millions, are not looked at even for planning.
     """
-    release = resolve_release(
-        load_manifest(spark, manifest or f"{base}/manifest.json"), version
-    )
     return (
         _reader(spark, table, schema)
         .option("basePath", f"{base}/{table}")

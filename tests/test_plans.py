@@ -139,12 +139,25 @@ def test_digests_keep_wide_text_out_of_the_shuffle(spark):
     assert "unhex(sha2(" in text
 
 
-def test_only_a_scan_in_few_pieces_is_spread(spark):
+def test_only_a_scan_in_few_pieces_is_spread(spark, tmp_path):
     few = spark.range(0, 1000, 1, numPartitions=2)
     many = spark.range(0, 1000, 1, numPartitions=64)
     assert "Exchange" in steps(tg.spread(few))
     assert tg.spread(many) is many
     assert tg.spread(few).count() == 1000
+    many.write.parquet(str(tmp_path / "many"))
+    files = spark.read.parquet(str(tmp_path / "many"))
+    assert files.rdd.getNumPartitions() < 64 and tg.spread(files) is files
+
+
+def test_one_row_group_is_spread_however_many_splits_are_planned(spark):
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        documents = driver._documents(spark, SF_DIR)
+        assert documents.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        assert "Exchange" in steps(tg.spread(documents))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_a_lookup_is_broadcast_only_if_measured_small(spark):
