@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 # What a row costs in a broadcast table beside the bytes of its strings, rounded up.
 ROW_BYTES, COLUMN_BYTES = 32, 16
 
+MEASURED = (T.StringType, T.BinaryType)
+FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -38,10 +41,11 @@ def broadcast_if_small(lookup: DataFrame, limit: int = BROADCAST_BYTES) -> DataF
 
     Spark plans with the size of the files, before the filter, and so would shuffle a huge
     table to meet a few rows of a large one. This reads the lookup table once more, to add up
-    the real size of what the filter leaves. Over the limit it is returned as it is.
+    the real size of what the filter leaves. Over the limit, or with columns that cannot be
+    measured, it is returned as it is.
     """
-    strings = [f.name for f in lookup.schema if isinstance(f.dataType, T.StringType)]
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in lookup.schema):
+    strings = [f.name for f in lookup.schema if isinstance(f.dataType, MEASURED)]
+    if not all(isinstance(f.dataType, (*MEASURED, *FIXED)) for f in lookup.schema):
         return lookup
     fixed = F.lit(ROW_BYTES + COLUMN_BYTES * len(lookup.columns)).cast("long")
     row = reduce(add, (F.coalesce(F.octet_length(s), F.lit(0)) for s in strings), fixed)
