@@ -120,6 +120,31 @@ def test_a_large_corpus_table_is_not_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_transcript_is_split_at_run_time(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        hot = spark.range(0, 200_000, 1, numPartitions=16).selectExpr(
+            "if(id % 3 = 0, id % 500, 7) AS transcript_id",
+            "id AS utterance_order",
+            "'CHI' AS speaker",
+            "sha2(string(id), 256) AS text",
+        )
+        transcripts = spark.range(500).selectExpr("id AS transcript_id", "'A' AS corpus")
+        joined = tg.with_corpus(hot, transcripts)
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+
+
 def test_population_joins_counts_and_not_text(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
