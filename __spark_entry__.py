@@ -21,6 +21,15 @@ import talkgrain as tg  # noqa: E402
 from talkgrain import plans  # noqa: E402
 from talkgrain.sources.shared import shared_folder  # noqa: E402
 
+try:
+    from talkgrain.llm import queries as llm  # noqa: E402
+except ImportError:  # the subpackage may be left out
+    llm = None
+try:
+    import corpus_pipeline  # noqa: E402
+except ImportError:
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # ---------------------------------------------------------------- views of the given tables
@@ -252,6 +261,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    found = _own_queries()
+    if llm is not None:
+        found |= llm.queries()
+    if corpus_pipeline is not None:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = _own_oracle_sql()
+    if llm is not None:
+        found |= llm.oracle_sql()
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         # Measures by speaker, on conversations.
         "word_frequency": lambda s, d: tg.word_frequency(_spread_utterances(s, d)),
@@ -361,7 +388,7 @@ def _binned(view: str, source: str, width: int) -> str:
             SELECT *, floor(utterance_order / {width})::bigint AS bin FROM {source})"""
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_oracle_sql() -> dict[str, str]:
     current = f"""WITH {_LINES}
         SELECT transcript_id, utterance_order, speaker, text, lower(text) AS phonology,
                '2020.1' AS release FROM lines"""

@@ -39,7 +39,10 @@ def table(columns, rows):
     )
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+OWN = sorted(driver._own_queries())
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_its_sql(spark, oracle, name):
     result = driver.queries()[name](spark, SF_DIR)
     expected = oracle.execute(driver.oracle_sql()[name])
@@ -54,7 +57,7 @@ def test_query_equals_its_sql(spark, oracle, name):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(OWN) == set(driver._own_oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
