@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,11 @@ def split_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS, -1), "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, also where a lambda refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def text_key(text: Column) -> Column:
     """With the id it tells rows apart that share an id but not a text."""
     return F.xxhash64(text)

@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from talkgrain.llm.decontaminate import contaminated, contamination_digest
+from talkgrain.llm.pii import find_pii, pii_digest
+from talkgrain.llm.quality import judge_quality
+from talkgrain.llm.secrets import find_secrets, secrets_digest
 from talkgrain.llm.simhash import near_duplicates
 from talkgrain.llm.substrings import dedup_substrings
+from talkgrain.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,17 +33,40 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(_documents(spark, sf_dir))
+    return judged.withColumn("votes", F.array_join(F.col("votes").cast("array<string>"), ","))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = _table(spark, sf_dir, "benchmark")
+    return contamination_digest(contaminated(_documents(spark, sf_dir), benchmark))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(find_pii(_documents(spark, sf_dir)))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = shared_folder(spark, "secret-ledger")
+    return secrets_digest(find_secrets(_documents(spark, sf_dir), ledger))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_documents(spark, sf_dir)).drop("kept_text")
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_quality": op3_quality,
+        "op4_decontamination": op4_decontamination,
+        "op5_pii": op5_pii,
         "op6_simhash": op6_simhash,
+        "op7_secrets": op7_secrets,
         "op10_substrings": op10_substrings,
     }
 
