@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkgrain.llm.decontaminate import contaminated, contamination_digest
+from talkgrain.llm.kneser_ney import judge_perplexity
+from talkgrain.llm.language import identify_languages
+from talkgrain.llm.packing import pack
 from talkgrain.llm.pii import find_pii, pii_digest
 from talkgrain.llm.quality import judge_quality
 from talkgrain.llm.secrets import find_secrets, secrets_digest
 from talkgrain.llm.simhash import near_duplicates
 from talkgrain.llm.substrings import dedup_substrings
+from talkgrain.llm.token_ids import token_digest, write_token_ids
 from talkgrain.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +37,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_documents(spark, sf_dir))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_documents(spark, sf_dir))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(_documents(spark, sf_dir))
     return judged.withColumn("votes", F.array_join(F.col("votes").cast("array<string>"), ","))
@@ -48,7 +60,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_documents(spark, sf_dir))
+    return near_duplicates(_documents(spark, sf_dir)).drop("group_id", "_key")
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,17 +68,36 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_digest(find_secrets(_documents(spark, sf_dir), ledger))
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = shared_folder(spark, "token-ids")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    write_token_ids(_documents(spark, sf_dir), tokenizer, folder, end_id=1)
+    return token_digest(spark, folder)
+
+
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels")
+    trusted = labels.where("quality = 1 AND toxic = 0")
+    return judge_perplexity(_documents(spark, sf_dir), trusted)
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_documents(spark, sf_dir)).drop("kept_text")
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_language": op1_language,
+        "op2_packing": op2_packing,
         "op3_quality": op3_quality,
         "op4_decontamination": op4_decontamination,
         "op5_pii": op5_pii,
         "op6_simhash": op6_simhash,
         "op7_secrets": op7_secrets,
+        "op8_token_ids": op8_token_ids,
+        "op9_quality_model": op9_quality_model,
         "op10_substrings": op10_substrings,
     }
 

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import written
+from talkgrain.llm.common import LAST_ID, text_key, written
 from talkgrain.llm.components import connected_components
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -36,7 +36,7 @@ def fingerprints(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id`` and ``_fp``, the fingerprint of the whole text as a signed long."""
+    """``doc_id``, ``_key`` (hash of the text) and ``_fp``, its fingerprint as a signed long."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def rows(batches):
@@ -44,13 +44,16 @@ def fingerprints(
             found = [fingerprint_of(t, shingle, seed) for t in batch.column("_text").to_pylist()]
             fps = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps)], ["doc_id", "_fp"]
+                [batch.column("doc_id"), batch.column("_key"), pa.array(fps)],
+                ["doc_id", "_key", "_fp"],
             )
 
     source = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("_text")
+        F.col(id_col).alias("doc_id"),
+        text_key(F.col(text_col)).alias("_key"),
+        F.col(text_col).cast("binary").alias("_text"),
     )
-    return source.mapInArrow(rows, f"doc_id {id_type}, _fp long")
+    return source.mapInArrow(rows, f"doc_id {id_type}, _key long, _fp long")
 
 
 # Every segment is two bits wide; its count of set bits, 0 to 2, is held as 00, 01 or 11. So the
@@ -125,7 +128,8 @@ def near_duplicates(
 ) -> DataFrame:
     """Each document with its fingerprint and the smallest id of its group of near copies.
 
-    Returns ``doc_id``, ``fingerprint`` (16 hexadecimal digits), ``component_id``, a row per row of
+    Returns ``doc_id``, ``fingerprint`` (16 hexadecimal digits), ``component_id``, ``group_id`` (a
+    name of the group that is never null) and ``_key`` (hash of the text), a row per row of
     ``docs``. Documents are linked if their fingerprints differ in 3 bits or fewer; groups are what
     links reach. A text without words (null, empty, blank) has the fingerprint zero and is linked
     like any other. Copies share a fingerprint and are one node of the graph. A null id is never
@@ -135,10 +139,35 @@ def near_duplicates(
     nodes = table.groupBy("_fp").agg(F.min("doc_id").alias("_least"))
     roots = connected_components(fingerprint_links(nodes))
     rooted = nodes.join(roots, F.col("_fp") == F.col("node"), "left").select(
-        "_fp", "_least", F.coalesce("root", "_fp").alias("_root")
+        "_fp", "_least", F.coalesce("root", "_fp").alias("group_id")
     )
-    least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    members = rooted.select("_fp", "_root").join(least, "_root").select("_fp", "component_id")
+    least = rooted.groupBy("group_id").agg(F.min("_least").alias("component_id"))
+    members = rooted.select("_fp", "group_id").join(least, "group_id")
     return table.join(members, "_fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id",
+        F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+        "group_id",
+        "_key",
     )
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay when near copies go.
+
+    Of each group the row with the smallest id stays, a null id being larger than any; of rows of
+    one id the one whose text has the smallest hash, and of rows equal in both the least in all
+    their columns, which must be orderable.
+    """
+    names = docs.columns
+    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    groups = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    chosen = groups.groupBy("group_id").agg(F.min(F.struct(order.alias("_id"), "_key")).alias("c"))
+    keyed = docs.select(
+        F.struct("*").alias("_row"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"),
+        text_key(F.col(text_col)).alias("_key"),
+    )
+    kept = keyed.join(chosen.select("c._id", "c._key"), ["_id", "_key"], "semi")
+    least = kept.groupBy("_id", "_key").agg(F.min("_row").alias("_row"))
+    return least.select(*(F.col("_row")[name].alias(name) for name in names))

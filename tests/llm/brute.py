@@ -175,3 +175,13 @@ def quality(docs):
         n, n_symbols = len(w), len(re.findall(r"[#*$%&|<>]", text))
         failed = n < 20 or 100 * len(twice) > 30 * n
         yield doc_id, n, sum(map(len, w)), n_symbols, n_dup, len(twice), failed
+
+
+def unlinked(docs):
+    """The (doc_id, text) that stay when one of each group of near copies does."""
+    docs = list(docs)
+    best = {}
+    for (i, text), (_, fp, component) in zip(docs, near_duplicates(docs)):
+        if component is not None and i == component:
+            best.setdefault(component, text)
+    return best

@@ -1,0 +1,115 @@
+"""Near copies and repeated passages against plain versions."""
+
+import random
+
+from brute import near_duplicates as brute_near
+from brute import substrings as brute_substrings
+from conftest import ODD
+from pyspark.sql import functions as F
+
+from talkgrain.llm.components import connected_components
+from talkgrain.llm.simhash import fingerprint_links, near_duplicates, one_of_each_group
+from talkgrain.llm.substrings import dedup_substrings
+
+NEAR = ["doc_id", "fingerprint", "component_id"]
+SUBSTRINGS = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+
+
+def test_near_copies_of_documents(documents, texts, same):
+    same(near_duplicates(documents), NEAR, brute_near(texts))
+
+
+def test_near_copies_of_odd_rows(odd, same):
+    same(near_duplicates(odd), NEAR, brute_near(ODD))
+    assert near_duplicates(odd.limit(0)).collect() == []
+
+
+def test_links_find_every_pair(spark, rows_of):
+    random.seed(3)
+    fps = set()
+    for _ in range(60):
+        fp = random.getrandbits(64)
+        for _ in range(12):
+            fps.add(fp)
+            for bit in random.sample(range(64), random.randint(0, 5)):
+                fp ^= 1 << bit
+    signed = [(f - (f >> 63 << 64),) for f in sorted(fps)]
+    links = fingerprint_links(spark.createDataFrame(signed, "_fp long"))
+    got = {frozenset((r["a"] % 2**64, r["b"] % 2**64)) for r in links.collect()}
+    want = {frozenset((a, b)) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3}
+    assert got == want and len(want) > 100
+
+
+def test_components(spark, rows_of):
+    random.seed(4)
+    n = 3000
+    links = [(i, i + 1) for i in range(200)] + [(500, i) for i in range(501, 900)]
+    links += [(random.randrange(900, n), random.randrange(900, n)) for _ in range(900)]
+    links += [(7, 7), (None, 3)] + links[:50]
+    parent = list(range(n))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        if a is not None:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    nodes = {x for a, b in links if a is not None and a != b for x in (a, b)}
+    result = connected_components(spark.createDataFrame(links, "a long, b long"))
+    assert rows_of(result) == sorted(((i, root(i)) for i in nodes), key=repr)
+
+
+def test_one_of_each_group_stays(spark, odd, documents, texts):
+    kept = one_of_each_group(odd)
+    assert kept.columns == odd.columns
+    # Rows without words are one group, whose smallest id is 1.
+    assert {(r["doc_id"], r["text"]) for r in kept.where("doc_id < 5").collect()} >= {(1, "")}
+    ids = [r["doc_id"] for r in one_of_each_group(documents).collect()]
+    assert sorted(ids) == sorted({row[2] for row in brute_near(texts)})
+
+
+def test_null_ids_are_not_merged(spark):
+    rows = [(None, "one text of its own"), (None, "and quite another one here"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert one_of_each_group(docs.union(docs)).count() == 3
+
+
+def test_repeated_passages_of_documents(documents, texts, same):
+    expected = list(brute_substrings(texts))
+    assert sum(row[2] for row in expected) > 0
+    same(dedup_substrings(documents), SUBSTRINGS, expected)
+
+
+def test_repeated_passages_of_odd_rows(odd, same):
+    same(dedup_substrings(odd), SUBSTRINGS, brute_substrings(ODD))
+    assert dedup_substrings(odd.limit(0)).collect() == []
+
+
+def test_hand_made_passages(spark, same):
+    a = [f"a{i}" for i in range(120)]
+    rows = [
+        (3, " ".join(a)),
+        (1, "x " + " ".join(a[:49]) + " y"),
+        (2, " ".join(a[10:60]) + " z"),
+        (5, "p\tq\n" + "  ".join(a[30:110])),
+        (5, " ".join(a[30:110])),
+        (4, " ".join(a[:55] + ["new"] + a[50:110])),
+        (6, "w " * 120),
+        (7, "w " * 60),
+        (None, " ".join(a[:70])),
+    ]
+    result = dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"))
+    same(result, SUBSTRINGS, brute_substrings(rows))
+
+
+def test_a_full_filter_loses_nothing(documents, texts, same):
+    same(dedup_substrings(documents, most_bits=1024), SUBSTRINGS, brute_substrings(texts))
+
+
+def test_other_lengths(documents, texts, same):
+    result = dedup_substrings(documents, length=24, base=6)
+    same(result, SUBSTRINGS, brute_substrings(texts, 24))
+    assert result.where(F.col("kept_text").isNull()).count() == 0
