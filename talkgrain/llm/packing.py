@@ -21,7 +21,7 @@ def best_fit(
     ``sources`` and ``clusters`` are small numbers, or -1 for none. Every bin carries two bitmaps
     of what it holds. Bins are ordered by what room they have left; the search starts at the first
     that is large enough and goes on to the next larger until one is compatible, so it finds the
-    tightest; if there is none, a bin is opened.
+    tightest; if there is none, a bin is opened. A full bin is closed, also for pieces of no length.
     """
     room: list[tuple[int, int]] = []
     source_bits: list[int] = []

@@ -77,7 +77,7 @@ def plain_best_fit(lengths, sources, clusters, capacity):
         fits = [
             (left, b)
             for b, (left, ss, cs) in enumerate(bins)
-            if left >= length and (s < 0 or s not in ss) and (c < 0 or c not in cs)
+            if left >= max(1, length) and (s < 0 or s not in ss) and (c < 0 or c not in cs)
         ]
         if fits:
             b = min(fits)[1]
