@@ -37,6 +37,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Stated, so that no job runs to infer them.
 _DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+# The transcripts of a release, with a time of their own: their length stands in for an age.
+_TRANSCRIPTS = "transcript_id long, corpus string, collection string, n_chars long"
 _CONVERSATIONS = "conv_id long, turn long, role string, text string"
 
 # The measures cut text into words, which is worth spreading over all cores first; a filter, a
@@ -98,11 +100,13 @@ def _release_store(spark: SparkSession, sf_dir: str) -> str:
     """
 
     def write(base: str) -> None:
-        lines = _lines(spark, sf_dir).drop("corpus")
-        transcripts = _documents(spark, sf_dir).select(
+        lines = _lines(spark, sf_dir)
+        documents = _documents(spark, sf_dir)
+        transcripts = documents.select(
             F.col("doc_id").alias("transcript_id"),
             F.col("source").alias("corpus"),
             F.lit("main").alias("collection"),
+            "n_chars",
             "lang",
         )
         english, not_french = "{} = 'en'", "{} <> 'fr'"
@@ -112,14 +116,12 @@ def _release_store(spark: SparkSession, sf_dir: str) -> str:
                 utterances = utterances.withColumn("phonology", F.lower("text"))
             members = transcripts.where(kept.format("lang")) if kept else transcripts
             tg.write_release(utterances, base, "utterances", release)
-            tg.write_release(members.drop("lang"), base, "transcripts", release)
-        names = tg.read_releases(spark, base, "transcripts").select("release").distinct()
-        manifest = names.agg(
-            F.max("release").alias("current"),
-            F.sort_array(F.collect_set("release")).alias("supported"),
-        )
-        page = F.concat(F.lit("---\nlayout: null\n---\n\n"), F.to_json(F.struct("*")))
-        manifest.select(page.alias("value")).write.text(f"{base}/manifest.json")
+            tg.write_release(members.drop("lang"), base, "transcripts", release, _TRANSCRIPTS)
+        tokens = tg.tokens(_spread_lines(spark, sf_dir))
+        tg.write_release(tokens, base, "tokens", "2020.1")
+        corpora = transcripts.select("corpus", "collection").distinct()
+        tg.write_release(corpora, base, "corpora", "2020.1")
+        tg.write_manifest(spark, f"{base}/manifest.json", ["2018.1", "2019.1", "2020.1"], "2020.1")
 
     return _once(spark, sf_dir, "releases", write)
 
@@ -128,19 +130,32 @@ def _transcript_files(spark: SparkSession, sf_dir: str) -> str:
     """``conversations`` as XML, with the text of each utterance and its word elements."""
 
     def write(folder: str) -> None:
-        utterances = tg.tokenize(_spread_utterances(spark, sf_dir))
-        utterances.select(
+        # Words are what stands between spaces, each with a number and an annotation inside it.
+        split = F.array_remove(F.split("text", " "), "")
+        annotation = F.struct(F.lit("mor").alias("_type"), F.lit("n").alias("_VALUE"))
+
+        def element(word, position):
+            return F.struct(word.alias("_VALUE"), position.alias("_n"), annotation.alias("mor"))
+
+        _spread_utterances(spark, sf_dir).select(
             F.col("transcript_id").alias("_transcript"),
             F.col("utterance_order").alias("_order"),
             F.col("speaker").alias("_who"),
             "text",
-            F.col("words").alias("w"),
+            F.transform(split, element).alias("w"),
         ).write.format("xml").option("rootTag", "transcripts").option("rowTag", "u").save(folder)
 
     return _once(spark, sf_dir, "transcripts-xml", write)
 
 
 def _layout(text: str | None = None, words: str | None = None) -> tg.TranscriptLayout:
+    word = T.StructType(
+        [
+            T.StructField("_VALUE", T.StringType()),
+            T.StructField("_n", T.LongType()),
+            T.StructField("mor", T.StructType([T.StructField("_VALUE", T.StringType())])),
+        ]
+    )
     return tg.TranscriptLayout(
         row_tag="u",
         schema=T.StructType(
@@ -149,7 +164,7 @@ def _layout(text: str | None = None, words: str | None = None) -> tg.TranscriptL
                 T.StructField("_order", T.LongType()),
                 T.StructField("_who", T.StringType()),
                 T.StructField("text", T.StringType()),
-                T.StructField("w", T.ArrayType(T.StringType())),
+                T.StructField("w", T.ArrayType(word)),
             ]
         ),
         transcript_id="_transcript",
@@ -157,6 +172,7 @@ def _layout(text: str | None = None, words: str | None = None) -> tg.TranscriptL
         speaker="_who",
         text=text,
         words=words,
+        word="_VALUE" if words else None,
     )
 
 
@@ -189,7 +205,9 @@ def _union_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tg.union_releases([*before_phonology, _read_current(spark, sf_dir)])
 
 
-def _compare_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _compare_releases(
+    spark: SparkSession, sf_dir: str, unique_keys: bool = False
+) -> DataFrame:
     """Old: all but the French. New: without src3, src5 moved, lines joined in the text."""
     transcripts = _documents(spark, sf_dir).select(
         F.col("source").alias("corpus"), F.col("doc_id").alias("transcript_id"), "text", "lang"
@@ -203,7 +221,9 @@ def _compare_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     keys, attrs = ["corpus", "transcript_id"], ["collection", "text"]
-    return tg.compare_releases(old, new, keys, attrs, digests=["text"])
+    return tg.compare_releases(
+        old, new, keys, attrs, digests=["text"], unique_keys=unique_keys
+    )
 
 
 def _load_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,14 +255,15 @@ def _mirror_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _release_store(spark, sf_dir)
 
     def write(out: str) -> None:
-        def source(table: str) -> DataFrame:
-            return tg.read_release(spark, base, table, "2020.1")
+        def source(table: str, release: str) -> DataFrame:
+            return tg.read_release(spark, base, table, release)
 
-        tg.mirror_release(spark, source, ["transcripts", "utterances"], "2020.1", out)
+        tables = ["transcripts", "utterances"]
+        tg.mirror_store(spark, source, tables, ["2019.1", "2020.1"], "2020.1", out)
 
     out = _once(spark, sf_dir, "mirror", write)
-    utterances = tg.read_releases(spark, out, "utterances").drop("release")
-    return tg.with_corpus(utterances, tg.read_releases(spark, out, "transcripts"))
+    utterances = tg.read_release(spark, out, "utterances").drop("release")
+    return tg.with_corpus(utterances, tg.read_release(spark, out, "transcripts"))
 
 
 def _ingest_transcripts(spark: SparkSession, sf_dir: str, split_files: bool = False) -> DataFrame:
@@ -327,6 +348,12 @@ def _own_queries() -> dict[str, Query]:
         "stamp_release": _stamp_release,
         "union_releases": _union_releases,
         "compare_releases": _compare_releases,
+        "compare_releases_unique": lambda s, d: _compare_releases(s, d, unique_keys=True),
+        "read_release_tokens": lambda s, d: tg.read_release(s, _release_store(s, d), "tokens"),
+        "read_release_corpora": lambda s, d: tg.read_release(s, _release_store(s, d), "corpora"),
+        "word_frequency_stored_tokens": lambda s, d: tg.word_frequency(
+            tg.read_release(s, _release_store(s, d), "tokens"), ["corpus", "speaker"]
+        ),
         "load_manifest": _load_manifest,
         "resolve_release": _resolve_release,
         "mirror_release": _mirror_release,
@@ -335,18 +362,58 @@ def _own_queries() -> dict[str, Query]:
         "ingest_tokens": _ingest_tokens,
         # The three analyses, from a release to a stamped result.
         "analysis_frequency": lambda s, d: plans.frequency(
-            s, _release_store(s, d), corpora=["src0", "src7"]
+            s, _release_store(s, d), corpora=["src0", "src7"], spread_scan=True
+        ),
+        "analysis_frequency_all": lambda s, d: plans.frequency(
+            s, _release_store(s, d), spread_scan=True
         ),
         "analysis_derived_measures": lambda s, d: plans.derived_measures(
-            s, _release_store(s, d), "mlu_w", bin_width=5, speakers=["de", "en"], version="2019.1"
+            s,
+            _release_store(s, d),
+            "mlu_w",
+            bin_width=5,
+            speakers=["de", "en"],
+            version="2019.1",
+            spread_scan=True,
+        ),
+        "analysis_growth_all": lambda s, d: plans.derived_measures(
+            s, _release_store(s, d), "ttr", bin_width=5, spread_scan=True
+        ),
+        "analysis_growth_by_transcript": lambda s, d: plans.derived_measures(
+            s,
+            _release_store(s, d),
+            "mlu_w",
+            "n_chars",
+            bin_width=1000,
+            spread_scan=True,
+            transcripts_schema=_TRANSCRIPTS,
+        ),
+        "analysis_growth_ttr_by_transcript": lambda s, d: plans.derived_measures(
+            s,
+            _release_store(s, d),
+            "ttr",
+            "n_chars",
+            bin_width=1000,
+            spread_scan=True,
+            transcripts_schema=_TRANSCRIPTS,
+        ),
+        "analysis_population": lambda s, d: plans.population_properties(
+            s, _release_store(s, d), spread_scan=True
         ),
-        "analysis_population": lambda s, d: plans.population_properties(s, _release_store(s, d)),
     }
 
 
 # ---------------------------------------------------------------------------- oracle SQL
 
-_WORDS = r"regexp_extract_all(text, '[\p{L}\p{N}'']+')"
+# This engine's patterns take no stack, so they need no possessive quantifiers.
+_WORD = r"[\p{L}\p{N}\p{M}]+(?:[''’][\p{L}\p{N}\p{M}]+)*"
+_WORDS = f"regexp_extract_all(text, '{_WORD}')"
+
+
+def _plain(word: str) -> str:
+    return f"lower(replace({word}, '’', ''''))"
+
+
 
 _UTTERANCES = """utterances AS (
     SELECT conv_id AS transcript_id, turn AS utterance_order, role AS speaker, text
@@ -359,9 +426,34 @@ _LINES = """lines AS (
     FROM documents)"""
 
 
+_COMPARED = """WITH old AS (
+                SELECT source, doc_id, 'main' AS collection, text
+                FROM documents WHERE lang <> 'fr'),
+            new AS (
+                SELECT source, doc_id, translate(text, chr(10), ' ') AS text,
+                       CASE WHEN source = 'src5' THEN 'phonological' ELSE 'main' END
+                           AS collection
+                FROM documents WHERE source <> 'src3')
+            SELECT coalesce(old.source, new.source) AS corpus,
+                   coalesce(old.doc_id, new.doc_id) AS transcript_id,
+                   (CASE WHEN old.doc_id IS NULL THEN 0 ELSE 1 END)::bigint AS n_old,
+                   (CASE WHEN new.doc_id IS NULL THEN 0 ELSE 1 END)::bigint AS n_new,
+                   CASE WHEN old.doc_id IS NULL THEN 'added'
+                        WHEN new.doc_id IS NULL THEN 'removed'
+                        WHEN old.collection IS DISTINCT FROM new.collection THEN 'moved'
+                        WHEN old.text IS DISTINCT FROM new.text THEN 'revised'
+                        ELSE 'same' END AS status
+            FROM old FULL OUTER JOIN new
+              ON old.source = new.source AND old.doc_id = new.doc_id"""
+
+_BY_LENGTH = f"""{_LINES}, binned AS (
+            SELECT lines.*, floor(n_chars / 1000)::bigint AS bin
+            FROM lines JOIN documents ON transcript_id = doc_id)"""
+
+
 def _sql_frequency(view: str, source: str, by: str) -> str:
     return f"""WITH {view}, cut AS (
-            SELECT {by}, lower(unnest({_WORDS})) AS word FROM {source})
+            SELECT {by}, {_plain(f'unnest({_WORDS})')} AS word FROM {source})
         SELECT {by}, word, count(*) AS n FROM cut GROUP BY {by}, word"""
 
 
@@ -376,7 +468,7 @@ def _sql_mlu(view: str, source: str, by: str, extra: str = "", where: str = "tru
 
 def _sql_ttr(view: str, source: str, by: str) -> str:
     return f"""WITH {view}, cut AS (
-            SELECT {by}, lower(w.word) AS word
+            SELECT {by}, {_plain('w.word')} AS word
             FROM {source} LEFT JOIN LATERAL (SELECT unnest({_WORDS}) AS word) w ON true)
         SELECT {by}, count(DISTINCT word) AS n_types, count(word) AS n_tokens,
                count(DISTINCT word) / nullif(count(word), 0) AS ttr
@@ -390,8 +482,8 @@ def _binned(view: str, source: str, width: int) -> str:
 
 def _own_oracle_sql() -> dict[str, str]:
     current = f"""WITH {_LINES}
-        SELECT transcript_id, utterance_order, speaker, text, lower(text) AS phonology,
-               '2020.1' AS release FROM lines"""
+        SELECT transcript_id, utterance_order, corpus, speaker, text,
+               lower(text) AS phonology, '2020.1' AS release FROM lines"""
     return {
         "word_frequency": _sql_frequency(_UTTERANCES, "utterances", "speaker"),
         "mlu_w": _sql_mlu(_UTTERANCES, "utterances", "speaker"),
@@ -423,13 +515,13 @@ def _own_oracle_sql() -> dict[str, str]:
         ),
         "tokenize": f"""WITH {_UTTERANCES}
             SELECT transcript_id, utterance_order, speaker, text,
-                   array_to_string(list_transform({_WORDS}, lambda w: lower(w)), ' ') AS words,
+                   array_to_string(list_transform({_WORDS}, lambda w: {_plain('w')}), ' ') AS words,
                    coalesce(len({_WORDS}), 0)::bigint AS n_tokens
             FROM utterances""",
         "tokens": f"""WITH {_UTTERANCES}
             SELECT transcript_id, utterance_order, speaker,
                    generate_subscripts({_WORDS}, 1) AS token_order,
-                   lower(unnest({_WORDS})) AS word
+                   {_plain(f'unnest({_WORDS})')} AS word
             FROM utterances""",
         "lines_as_utterances": f"WITH {_LINES} SELECT * FROM lines",
         "with_corpus": f"WITH {_LINES} SELECT * FROM lines",
@@ -440,36 +532,39 @@ def _own_oracle_sql() -> dict[str, str]:
             SELECT * FROM lines WHERE corpus IN ('src1', 'src12')""",
         "read_release": current,
         "read_release_named": f"""WITH {_LINES}
-            SELECT transcript_id, utterance_order, speaker, text,
+            SELECT transcript_id, utterance_order, corpus, speaker, text,
                    NULL::varchar AS phonology, '2019.1' AS release
             FROM lines WHERE speaker <> 'fr'""",
         "stamp_release": _sql_mlu(_LINES, "lines", "speaker", ", '2020.1' AS release"),
         "union_releases": f"""{current}
             UNION ALL
-            SELECT transcript_id, utterance_order, speaker, text, NULL, '2019.1'
+            SELECT transcript_id, utterance_order, corpus, speaker, text, NULL, '2019.1'
             FROM lines WHERE speaker <> 'fr'
             UNION ALL
-            SELECT transcript_id, utterance_order, speaker, text, NULL, '2018.1'
+            SELECT transcript_id, utterance_order, corpus, speaker, text, NULL, '2018.1'
             FROM lines WHERE speaker = 'en'""",
-        "compare_releases": """WITH old AS (
-                SELECT source, doc_id, 'main' AS collection, text
-                FROM documents WHERE lang <> 'fr'),
-            new AS (
-                SELECT source, doc_id, translate(text, chr(10), ' ') AS text,
-                       CASE WHEN source = 'src5' THEN 'phonological' ELSE 'main' END
-                           AS collection
-                FROM documents WHERE source <> 'src3')
-            SELECT coalesce(old.source, new.source) AS corpus,
-                   coalesce(old.doc_id, new.doc_id) AS transcript_id,
-                   (CASE WHEN old.doc_id IS NULL THEN 0 ELSE 1 END)::bigint AS n_old,
-                   (CASE WHEN new.doc_id IS NULL THEN 0 ELSE 1 END)::bigint AS n_new,
-                   CASE WHEN old.doc_id IS NULL THEN 'added'
-                        WHEN new.doc_id IS NULL THEN 'removed'
-                        WHEN old.collection IS DISTINCT FROM new.collection THEN 'moved'
-                        WHEN old.text IS DISTINCT FROM new.text THEN 'revised'
-                        ELSE 'same' END AS status
-            FROM old FULL OUTER JOIN new
-              ON old.source = new.source AND old.doc_id = new.doc_id""",
+        "compare_releases": _COMPARED,
+        "compare_releases_unique": _COMPARED,
+        "read_release_tokens": f"""WITH {_LINES}
+            SELECT transcript_id, utterance_order, corpus, speaker,
+                   generate_subscripts({_WORDS}, 1) AS token_order,
+                   {_plain(f'unnest({_WORDS})')} AS word, '2020.1' AS release
+            FROM lines""",
+        "read_release_corpora": """
+            SELECT DISTINCT source AS corpus, 'main' AS collection, '2020.1' AS release
+            FROM documents""",
+        "word_frequency_stored_tokens": _sql_frequency(_LINES, "lines", "corpus, speaker"),
+        "analysis_frequency_all": f"""WITH {_LINES}, cut AS (
+                SELECT speaker, {_plain(f'unnest({_WORDS})')} AS word FROM lines)
+            SELECT speaker, word, count(*) AS n, '2020.1' AS release
+            FROM cut GROUP BY speaker, word""",
+        "analysis_growth_all": f"""SELECT *, '2020.1' AS release FROM (
+            {_sql_ttr(_binned(_LINES, "lines", 5), "binned", "speaker, bin")})""",
+        "analysis_growth_by_transcript": _sql_mlu(
+            _BY_LENGTH, "binned", "speaker, bin", ", '2020.1' AS release"
+        ),
+        "analysis_growth_ttr_by_transcript": f"""SELECT *, '2020.1' AS release FROM (
+            {_sql_ttr(_BY_LENGTH, "binned", "speaker, bin")})""",
         "load_manifest": f"""WITH {_LINES}
             SELECT '2018.1' AS release, false AS is_current, count(*) AS n_utterances
             FROM lines WHERE speaker = 'en'
@@ -487,13 +582,15 @@ def _own_oracle_sql() -> dict[str, str]:
             SELECT *, lower(text) AS phonology FROM lines""",
         "ingest_transcripts": f"WITH {_UTTERANCES} SELECT * FROM utterances",
         "ingest_transcripts_split": f"WITH {_UTTERANCES} SELECT * FROM utterances",
-        "ingest_tokens": f"""WITH {_UTTERANCES}
+        "ingest_tokens": f"""WITH {_UTTERANCES}, split AS (
+                SELECT *, list_filter(string_split(text, ' '), lambda w: w <> '') AS words
+                FROM utterances)
             SELECT transcript_id, utterance_order, speaker,
-                   generate_subscripts({_WORDS}, 1) AS token_order,
-                   lower(unnest({_WORDS})) AS word
-            FROM utterances""",
+                   generate_subscripts(words, 1) AS token_order,
+                   {_plain('unnest(words)')} AS word
+            FROM split""",
         "analysis_frequency": f"""WITH {_LINES}, cut AS (
-                SELECT speaker, lower(unnest({_WORDS})) AS word
+                SELECT speaker, {_plain(f'unnest({_WORDS})')} AS word
                 FROM lines WHERE corpus IN ('src0', 'src7'))
             SELECT speaker, word, count(*) AS n, '2020.1' AS release
             FROM cut GROUP BY speaker, word""",

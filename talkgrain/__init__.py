@@ -6,6 +6,7 @@ from talkgrain.operators import (
     for_corpora,
     for_speakers,
     growth_curve,
+    growth_curve_by_transcript,
     lines_as_utterances,
     mlu_w,
     population,
@@ -27,12 +28,14 @@ from talkgrain.sources import (
     jdbc_tables,
     load_manifest,
     mirror_release,
+    mirror_store,
     read_release,
     read_release_jdbc,
     read_releases,
     release_table,
     resolve_release,
     spread,
+    write_manifest,
     write_release,
 )
 
@@ -44,11 +47,13 @@ __all__ = [
     "for_corpora",
     "for_speakers",
     "growth_curve",
+    "growth_curve_by_transcript",
     "ingest_transcripts",
     "jdbc_tables",
     "lines_as_utterances",
     "load_manifest",
     "mirror_release",
+    "mirror_store",
     "mlu_w",
     "population",
     "population_tokens",
@@ -69,5 +74,6 @@ __all__ = [
     "word_count",
     "word_frequency",
     "words",
+    "write_manifest",
     "write_release",
 ]

@@ -7,8 +7,10 @@ All are built-in functions that Spark compiles into the loop of the scan. That r
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A word is a maximal run of Unicode letters, digits or apostrophes, lower-cased.
-WORD_PATTERN = r"[\p{L}\p{N}']+"
+# A word is a maximal run of Unicode letters, digits and marks, with single apostrophes (straight or
+# curly) inside it. The quantifiers are possessive: they find the same words, and a long run takes
+# no stack.
+WORD_PATTERN = r"[\p{L}\p{N}\p{M}]++(?:['’][\p{L}\p{N}\p{M}]++)*+"
 
 
 def runs(text: Column) -> Column:
@@ -17,16 +19,20 @@ def runs(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The lower-cased words of a text, in order. NULL text gives NULL.
+    """The words of a text in their ``plain`` form, in order. NULL text gives NULL.
 
-    Where the words are exploded anyway, exploding ``runs`` and lower-casing each word after
-    that is cheaper and gives the same words.
+    Where the words are exploded anyway, exploding ``runs`` and making each ``plain`` after that is
+    cheaper and gives the same words.
     """
     # The words are cut first: lower-casing can change where a word ends (a capital dotted I
     # becomes an i and a combining dot) and looks at neighbours (a capital sigma), but never
     # across the space put between the words here. Words hold no space and are not empty.
-    lowered = F.lower(F.array_join(runs(text), " "))
-    return F.array_remove(F.split(lowered, " "), "")
+    return F.array_remove(F.split(plain(F.array_join(runs(text), " ")), " "), "")
+
+
+def plain(word: Column) -> Column:
+    """A word as it is counted: lower-cased, with straight apostrophes."""
+    return F.lower(F.replace(word, F.lit("’"), F.lit("'")))
 
 
 def word_count(text: Column) -> Column:

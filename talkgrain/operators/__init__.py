@@ -2,6 +2,7 @@ from talkgrain.operators.compare import compare_releases
 from talkgrain.operators.filters import for_corpora, for_speakers
 from talkgrain.operators.measures import (
     growth_curve,
+    growth_curve_by_transcript,
     mlu_w,
     population,
     population_tokens,
@@ -17,6 +18,7 @@ __all__ = [
     "for_corpora",
     "for_speakers",
     "growth_curve",
+    "growth_curve_by_transcript",
     "lines_as_utterances",
     "mlu_w",
     "population",

@@ -5,15 +5,19 @@ speaker with a third of all utterances costs at most one row per task and group,
 ever holds the words of one speaker together.
 
 Each takes utterances with ``text``; a ``words`` or ``n_tokens`` column that is already there
-(see ``tokenize``) is used instead of cutting the text again.
+(see ``tokenize``) is used instead of cutting the text again. Word frequency and the type-token
+ratio also take a table of tokens, with one ``word`` a row.
 """
 
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from talkgrain.functions.text import array_length, ratio, runs, word_count
+from talkgrain.functions.text import array_length, plain, ratio, runs, word_count
+from talkgrain.operators.utterances import one_per_transcript
 
 
 def word_frequency(utterances: DataFrame, by: Sequence[str] = ("speaker",)) -> DataFrame:
@@ -42,16 +46,7 @@ def type_token_ratio(utterances: DataFrame, by: Sequence[str] = ("speaker",)) ->
     """Distinct words over all words, pooled over the group. A group without words gives NULL."""
     # Counting each word first keeps the shuffle on (group, word): the distinct words of a hot
     # group are spread over all tasks, and only their counts meet.
-    per_word = (
-        _exploded(utterances, by, F.explode_outer)
-        .groupBy(*by, "word")
-        .agg(F.count("word").alias("n"))
-    )
-    return (
-        per_word.groupBy(*by)
-        .agg(F.count("word").alias("n_types"), F.sum("n").alias("n_tokens"))
-        .withColumn("ttr", ratio(F.col("n_types"), F.col("n_tokens")))
-    )
+    return _ratio_of_types(_per_word(utterances, by), by)
 
 
 def population_utterances(
@@ -76,7 +71,8 @@ def population(
     """Both population counts in one pass, for utterances that do not carry their corpus.
 
     The utterances are counted per transcript before the join, so what the join moves is one
-    small row per transcript and group instead of every utterance with its text.
+    small row per transcript and group instead of every utterance with its text. Utterances of
+    no transcript are counted with NULL for what would be looked up.
     """
     own = [name for name in by if name in utterances.columns]
     per_transcript = (
@@ -89,7 +85,7 @@ def population(
     )
     looked_up = [name for name in by if name not in own]
     return (
-        per_transcript.join(transcripts.select("transcript_id", *looked_up), "transcript_id")
+        _looked_up(per_transcript, transcripts, looked_up)
         .groupBy(*by)
         .agg(
             F.sum("n_utterances").alias("n_utterances"),
@@ -105,29 +101,102 @@ def growth_curve(
     utterances: DataFrame,
     measure: str,
     time_col: str,
-    bin_width: float = 1,
+    bin_width: float | str | Decimal = 1,
+    by: Sequence[str] = ("speaker",),
+    ordered: bool = True,
+) -> DataFrame:
+    """A measure over time: one row per group and bin, the bin being floor(time / bin_width).
+
+    ``ordered`` sorts the result by group and bin.
+    """
+    _checked(measure)
+    keys = [*by, "bin"]
+    result = MEASURES[measure](_binned(utterances, time_col, bin_width), keys)
+    return result.orderBy(*keys) if ordered else result
+
+
+def growth_curve_by_transcript(
+    utterances: DataFrame,
+    transcripts: DataFrame,
+    measure: str,
+    time_col: str,
+    bin_width: float | str | Decimal = 1,
     by: Sequence[str] = ("speaker",),
+    ordered: bool = True,
 ) -> DataFrame:
-    """A measure over time: one row per group and bin, the bin being floor(time / bin_width)."""
+    """A measure over a time that the transcripts have, such as the age at a recording.
+
+    The text never meets the transcripts: what is joined are counts, by transcript and group for
+    the mean length, by transcript, group and word for the type-token ratio. Utterances of no
+    transcript, or of one without a time, are in the bin NULL.
+    """
+    _checked(measure)
+    counted, keys = ["transcript_id", *by], [*by, "bin"]
+    if measure == "mlu_w":
+        per_transcript = mlu_w(utterances, counted).drop("mlu_w")
+    else:
+        per_transcript = _per_word(utterances, counted)
+    placed = _binned(_looked_up(per_transcript, transcripts, [time_col]), time_col, bin_width)
+    if measure == "mlu_w":
+        summed = placed.groupBy(*keys).agg(
+            F.sum("n_utterances").alias("n_utterances"), F.sum("n_tokens").alias("n_tokens")
+        )
+        result = summed.withColumn("mlu_w", ratio(F.col("n_tokens"), F.col("n_utterances")))
+    else:
+        result = _ratio_of_types(placed.groupBy(*keys, "word").agg(F.sum("n").alias("n")), keys)
+    return result.orderBy(*keys) if ordered else result
+
+
+def _checked(measure: str) -> None:
     if measure not in MEASURES:
         raise ValueError(f"unknown measure {measure!r}, use one of {sorted(MEASURES)}")
-    if bin_width <= 0:
+
+
+def _binned(rows: DataFrame, time_col: str, bin_width: float | str | Decimal) -> DataFrame:
+    """Adds ``bin``. Times and widths that are not whole are divided as decimal numbers, for 0.3
+    is not three times 0.1 in binary; a time is rounded to nine places."""
+    width = Decimal(str(bin_width))
+    if width <= 0:
         raise ValueError("bin_width must be positive")
-    binned = utterances.withColumn(
-        "bin", F.floor(F.col(time_col) / F.lit(bin_width)).cast("long")
+    whole = isinstance(rows.schema[time_col].dataType, T.IntegralType) and width == int(width)
+    if whole:
+        time, step = F.col(time_col), F.lit(int(width))
+    else:
+        time = F.col(time_col).cast("decimal(28,9)")
+        step = F.lit(str(width)).cast("decimal(28,9)")
+    return rows.withColumn("bin", F.floor(time / step).cast("long"))
+
+
+def _looked_up(counts: DataFrame, transcripts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts by transcript with columns of the transcripts, NULL for those of no transcript."""
+    if not columns:
+        return counts
+    return counts.join(one_per_transcript(transcripts, columns), "transcript_id", "left")
+
+
+def _per_word(utterances: DataFrame, by: Sequence[str]) -> DataFrame:
+    """How often each word occurs, and a NULL word of no occurrence for a group without words."""
+    exploded = _exploded(utterances, by, F.explode_outer)
+    return exploded.groupBy(*by, "word").agg(F.count("word").alias("n"))
+
+
+def _ratio_of_types(per_word: DataFrame, by: Sequence[str]) -> DataFrame:
+    return (
+        per_word.groupBy(*by)
+        .agg(F.count("word").alias("n_types"), F.sum("n").alias("n_tokens"))
+        .withColumn("ttr", ratio(F.col("n_types"), F.col("n_tokens")))
     )
-    keys = [*by, "bin"]
-    return MEASURES[measure](binned, keys).orderBy(*keys)
 
 
 def _exploded(
     utterances: DataFrame, by: Sequence[str], explode: Callable[[Column], Column]
 ) -> DataFrame:
     """The grouping columns and ``word``, one row per word."""
-    if "words" in utterances.columns:
-        return utterances.select(*by, explode(F.col("words")).alias("word"))
-    return utterances.select(*by, explode(runs(F.col("text"))).alias("run")).select(
-        *by, F.lower("run").alias("word")
+    if "word" in utterances.columns:
+        return utterances.select(*by, "word")
+    array = F.col("words") if "words" in utterances.columns else runs(F.col("text"))
+    return utterances.select(*by, explode(array).alias("run")).select(
+        *by, plain(F.col("run")).alias("word")
     )
 
 

@@ -3,26 +3,37 @@
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkgrain.operators.filters import for_corpora, for_speakers
-from talkgrain.operators.measures import growth_curve, population, word_frequency
-from talkgrain.operators.utterances import with_corpus
+from talkgrain.operators.measures import (
+    growth_curve,
+    growth_curve_by_transcript,
+    population,
+    word_frequency,
+)
+from talkgrain.operators.utterances import of_transcripts
 from talkgrain.operators.versions import stamp_release
 from talkgrain.sources.manifest import load_manifest, resolve_release
 from talkgrain.sources.releases import release_table
 from talkgrain.sources.scans import broadcast_if_small, spread
 
 
+Names = Iterable[str] | None
+
+
 def frequency(
     spark: SparkSession,
     base: str,
-    speakers: Iterable[str] | None = None,
-    corpora: Iterable[str] | None = None,
+    speakers: Names = None,
+    corpora: Names = None,
     version: str | None = None,
+    spread_scan: bool = False,
 ) -> DataFrame:
     """Word counts by speaker."""
     release = _release(spark, base, version)
-    utterances = _utterances(spark, base, release, speakers, corpora)
+    utterances = _utterances(spark, base, release, speakers, corpora, spread_scan)
     return stamp_release(word_frequency(utterances), release)
 
 
@@ -32,29 +43,46 @@ def derived_measures(
     measure: str,
     time_col: str = "utterance_order",
     bin_width: float = 1,
-    speakers: Iterable[str] | None = None,
-    corpora: Iterable[str] | None = None,
+    speakers: Names = None,
+    corpora: Names = None,
     version: str | None = None,
+    spread_scan: bool = False,
+    schema: T.StructType | str | None = None,
+    transcripts_schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Growth curve of ``mlu_w`` or ``ttr`` by speaker."""
+    """Growth curve of ``mlu_w`` or ``ttr`` by speaker.
+
+    The time is a column of the utterances (of ``schema``, if they have columns of their own) or,
+    with ``transcripts_schema``, one of the transcripts, such as the age at a recording.
+    """
     release = _release(spark, base, version)
-    utterances = _utterances(spark, base, release, speakers, corpora)
-    return stamp_release(growth_curve(utterances, measure, time_col, bin_width), release)
+    utterances = _utterances(spark, base, release, speakers, corpora, spread_scan, schema)
+    if transcripts_schema is None:
+        curve = growth_curve(utterances, measure, time_col, bin_width)
+    else:
+        transcripts = release_table(spark, base, "transcripts", release, transcripts_schema)
+        curve = growth_curve_by_transcript(utterances, transcripts, measure, time_col, bin_width)
+    return stamp_release(curve, release)
 
 
 def population_properties(
     spark: SparkSession,
     base: str,
-    speakers: Iterable[str] | None = None,
-    corpora: Iterable[str] | None = None,
+    speakers: Names = None,
+    corpora: Names = None,
     version: str | None = None,
+    spread_scan: bool = False,
 ) -> DataFrame:
-    """Number of utterances and of words by corpus and speaker."""
+    """Number of utterances and of words by corpus and speaker.
+
+    Utterances of no transcript are counted with a NULL corpus, unless corpora are picked.
+    """
     release = _release(spark, base, version)
     transcripts = release_table(spark, base, "transcripts", release)
     if corpora is not None:
+        corpora = list(corpora)
         transcripts = for_corpora(transcripts, corpora)
-    utterances = _utterances(spark, base, release, speakers)
+    utterances = _utterances(spark, base, release, speakers, corpora, spread_scan).drop("corpus")
     return stamp_release(population(utterances, transcripts), release)
 
 
@@ -66,17 +94,23 @@ def _utterances(
     spark: SparkSession,
     base: str,
     release: str,
-    speakers: Iterable[str] | None,
-    corpora: Iterable[str] | None = None,
+    speakers: Names,
+    corpora: Names,
+    spread_scan: bool,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    utterances = release_table(spark, base, "utterances", release)
+    """What an analysis measures: picked first, and only then spread, where that is asked for."""
+    utterances = release_table(spark, base, "utterances", release, schema)
     if speakers is not None:
         utterances = for_speakers(utterances, speakers)
-    utterances = spread(utterances)
-    if corpora is None:
-        return utterances
-    # The corpora are picked on the transcripts, before any text is cut into words, and if the
-    # picked transcripts fit in memory, without a shuffle of the text.
-    transcripts = for_corpora(release_table(spark, base, "transcripts", release), corpora)
-    picked = broadcast_if_small(transcripts.select("transcript_id", "corpus"))
-    return with_corpus(utterances, picked)
+    if corpora is not None:
+        corpora = list(corpora)
+        if "corpus" in utterances.columns:
+            # Lets the scan skip other corpora; a release without the column has NULL there.
+            utterances = utterances.where(
+                F.col("corpus").isin(corpora) | F.col("corpus").isNull()
+            )
+        # The transcripts decide. If those picked fit in memory, no text is shuffled for it.
+        picked = for_corpora(release_table(spark, base, "transcripts", release), corpora)
+        utterances = of_transcripts(utterances, broadcast_if_small(picked.select("transcript_id")))
+    return spread(utterances) if spread_scan else utterances

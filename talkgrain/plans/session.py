@@ -18,14 +18,22 @@ SETTINGS = {
 # by size instead of kept for the sake of parallelism.
 LARGE = {
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "10000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 
-def configured(builder: SparkSession.Builder, large: bool = False) -> SparkSession.Builder:
-    """Apply the settings to a session builder."""
-    for key, value in {**SETTINGS, **(LARGE if large else {})}.items():
+def configured(
+    builder: SparkSession.Builder, large: bool = False, shuffle_partitions: int | None = None
+) -> SparkSession.Builder:
+    """Apply the settings to a session builder.
+
+    ``shuffle_partitions`` is how many partitions a shuffle starts with; adaptive execution only
+    merges them. Take the largest shuffle divided by what a task should read, such as 256 MB.
+    """
+    settings = {**SETTINGS, **(LARGE if large else {})}
+    if shuffle_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder

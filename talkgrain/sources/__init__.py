@@ -1,7 +1,8 @@
 from talkgrain.sources.jdbc import JdbcSplit, jdbc_tables, read_release_jdbc
-from talkgrain.sources.manifest import load_manifest, resolve_release
+from talkgrain.sources.manifest import load_manifest, resolve_release, write_manifest
 from talkgrain.sources.releases import (
     mirror_release,
+    mirror_store,
     read_release,
     read_releases,
     release_table,
@@ -18,11 +19,13 @@ __all__ = [
     "jdbc_tables",
     "load_manifest",
     "mirror_release",
+    "mirror_store",
     "read_release",
     "read_release_jdbc",
     "read_releases",
     "release_table",
     "resolve_release",
     "spread",
+    "write_manifest",
     "write_release",
 ]

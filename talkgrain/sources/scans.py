@@ -17,22 +17,13 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Rebalance the rows of a scan that may keep most cores waiting.
+    """Rebalance the rows of a scan that would keep most cores waiting. Costs a full shuffle.
 
     Cutting text into words is the costly step, and a Parquet file with one row group, or one
-    XML file, would do all of it on one core. The planned splits do not show that: Spark cuts
-    any small input into about one split per core, but a row group is read by one of them.
-
-    A scan is returned as it is if it has two splits or two files for each core. Every input of
-    more than two full splits per core has (``spark.sql.files.maxPartitionBytes``, 128 MB by
-    default), so a large table is never shuffled here, and a core never receives more than
-    that. Adaptive execution picks the number of pieces from their real size.
-
-    Call it on a scan, before joins or aggregates: it looks at the planned splits only.
+    XML file, would do all of it on one core. Ask for it for such inputs only; releases written
+    by ``write_release`` have many row groups and do not need it. Adaptive execution picks the
+    number of pieces from their real size.
     """
-    enough = 2 * scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= enough or len(scan.inputFiles()) >= enough:
-        return scan
     return scan.hint("rebalance")
 
 

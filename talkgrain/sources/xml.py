@@ -19,7 +19,8 @@ class TranscriptLayout:
     ``utterances`` names the array of a transcript row that holds its utterances; None when
     ``row_tag`` is the utterance element itself. ``transcript_id`` is a field of the row, the
     others are fields of the utterance. ``order`` None numbers the array from 1. The text is
-    either one field (``text``) or an array of word elements (``words``), joined with spaces.
+    either one field (``text``) or an array of word elements (``words``). Word elements that have
+    attributes or annotation inside them are structs; ``word`` names the field with their text.
     """
 
     row_tag: str
@@ -30,6 +31,7 @@ class TranscriptLayout:
     words: str | None = None
     order: str | None = None
     utterances: str | None = None
+    word: str | None = None
 
     def __post_init__(self):
         if (self.text is None) == (self.words is None):
@@ -43,14 +45,17 @@ def ingest_transcripts(
 ) -> DataFrame:
     """The utterances of the transcript files under ``path``.
 
-    Gives ``transcript_id``, ``utterance_order``, ``speaker`` and ``text``; ``tokens`` makes
-    the token table from them. A file that does not parse stops the run instead of leaving
-    rows of NULLs.
+    Gives ``transcript_id``, ``utterance_order``, ``speaker`` and ``text``, and with word elements
+    also ``words``, the elements as they are, whose text is joined with spaces. ``tokens`` and
+    the measures take the words from there and cut no text. A file that does not parse stops the
+    run instead of leaving rows of NULLs, and so does markup inside a word that is read as text.
 
     The files are shared out over the tasks, and a file is read by one task, row by row. For
     files too large for that, ``split_files`` cuts UTF-8 files at the closing tags of the rows,
-    so that many tasks share one file. It stops the run where a row is not closed by exactly
-    ``</row_tag>``, such as an empty ``<row_tag/>``; the other way reads those.
+    so that many tasks share one file. It gives the same rows, or stops the run where it cannot:
+    where a row is not closed by exactly ``</row_tag>``, such as an empty ``<row_tag/>``, and where a
+    comment or CDATA section reaches over a closing tag. It reads the files once more before,
+    to count the openings and closings of each.
     """
     rows = _split_scan(spark, path, layout) if split_files else _scan(spark, path, layout)
     if layout.utterances is None:
@@ -65,16 +70,26 @@ def ingest_transcripts(
         field = F.col("utterance").getField
         position = F.col("position") + 1
     order = field(layout.order) if layout.order else position
-    if layout.text is not None:
-        text = field(layout.text)
-    else:
-        # No word elements read as NULL; such an utterance exists and has an empty text.
-        text = F.coalesce(F.array_join(field(layout.words), " "), F.lit(""))
-    return parts.select(
+    columns = [
         F.col(layout.transcript_id).cast("long").alias("transcript_id"),
         order.cast("long").alias("utterance_order"),
         field(layout.speaker).alias("speaker"),
-        text.alias("text"),
+    ]
+    if layout.text is not None:
+        return parts.select(*columns, field(layout.text).alias("text"))
+    words = field(layout.words)
+    if layout.word is not None:
+        words = words.getField(layout.word)
+    # No word elements read as NULL; such an utterance exists and has an empty text.
+    words = F.coalesce(F.array_compact(words), F.array().cast("array<string>"))
+    text = F.array_join("words", " ")
+    nested = F.raise_error(F.lit("a word holds markup: read it as a struct and name its text field"))
+    return parts.select(*columns, words.alias("words")).select(
+        "transcript_id",
+        "utterance_order",
+        "speaker",
+        F.when(text.rlike(r"</[^>]+>|/>"), nested).otherwise(text).alias("text"),
+        "words",
     )
 
 
@@ -92,14 +107,38 @@ def _split_scan(spark: SparkSession, path: str, layout: TranscriptLayout) -> Dat
     closing = f"</{layout.row_tag}>"
     opening = rf"<{re.escape(layout.row_tag)}[\s/>]"
     pieces = spark.read.option("lineSep", closing).text(path)
-    openings = F.regexp_count("value", F.lit(opening))
-    unclosed = F.raise_error(F.lit(f"a row is not closed by {closing}: read with split_files=False"))
+    # A closing tag inside a comment or CDATA section cuts it, and its ends are left over.
+    bare = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
+    no_data = F.regexp_replace(bare, r"(?s)<!\[CDATA\[.*?\]\]>", "")
+    pieces = pieces.select(
+        bare.alias("bare"),
+        F.regexp_count(no_data, F.lit(opening)).alias("openings"),
+        no_data.rlike(r"<!--|-->|<!\[CDATA\[|\]\]>").alias("cut"),
+        F.octet_length("value").alias("size"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("file_size"),
+    )
+    again = "read with split_files=False"
+    # What the pieces do not hold of a file are its closing tags.
+    files = pieces.groupBy("file", "file_size").agg(
+        F.sum("openings").alias("openings"), F.sum("size").alias("size")
+    )
+    closings = (F.col("file_size") - F.col("size")) / len(closing.encode())
+    uneven = files.where(F.col("openings") != closings).head(1)
+    if uneven:
+        raise ValueError(
+            f"{uneven[0]['file']}: not every row that opens is closed by {closing}: {again}"
+        )
+    unclosed = F.raise_error(F.lit(f"a row is not closed by {closing}: {again}"))
+    across = F.raise_error(F.lit(f"a comment or CDATA section holds {closing}: {again}"))
     # What follows the last row of a file opens none.
-    row = F.when(openings > 1, unclosed).otherwise(
-        F.concat(F.regexp_extract("value", rf"(?s){opening}.*", 0), F.lit(closing))
+    row = (
+        F.when(F.col("cut"), across)
+        .when(F.col("openings") > 1, unclosed)
+        .otherwise(F.concat(F.regexp_extract("bare", rf"(?s){opening}.*", 0), F.lit(closing)))
     )
     return (
-        pieces.where(openings > 0)
+        pieces.where((F.col("openings") > 0) | F.col("cut"))
         .select(F.from_xml(row, layout.schema, {"mode": "FAILFAST"}).alias("row"))
         .select("row.*")
     )

@@ -74,13 +74,14 @@ def test_nested_transcripts(spark, folder, rows_of, split_files):
         ("utterance_order", "bigint"),
         ("speaker", "string"),
         ("text", "string"),
+        ("words", "array<string>"),
     ]
-    assert rows_of(utterances) == ROWS
+    assert rows_of(utterances.drop("words")) == ROWS
     assert rows_of(tg.tokens(utterances).where("transcript_id = 1")) == [
         (1, 1, "CHI", 1, "don't"),
         (1, 1, "CHI", 2, "go"),
         (1, 3, "MOT", 1, "école"),
-        (1, 3, "MOT", 2, "b"),
+        (1, 3, "MOT", 2, "<b>"),
     ]
 
 
@@ -125,6 +126,53 @@ def test_rows_that_cannot_be_cut_are_not_lost(spark, tmp_path, row):
         tg.ingest_transcripts(spark, str(tmp_path), layout(), split_files=True).collect()
 
 
+@pytest.mark.parametrize("split_files", [False, True])
+def test_a_row_in_a_comment_is_not_data(spark, tmp_path, split_files):
+    row = '<t id="{}"><u who="A"><w>x</w></u></t>'
+    (tmp_path / "file.xml").write_text(f"<c><!-- {row.format(9)} -->{row.format(1)}</c>")
+    rows = tg.ingest_transcripts(spark, str(tmp_path), layout(), split_files)
+    if split_files:
+        with pytest.raises(Exception, match="split_files=False"):
+            rows.collect()
+    else:
+        assert [r.transcript_id for r in rows.collect()] == [1]
+
+
+@pytest.mark.parametrize("split_files", [False, True])
+@pytest.mark.parametrize("end", ["", "<u who='B'>", "</u", "<!-- </t>"])
+def test_a_file_that_is_cut_off_stops_the_run(spark, tmp_path, split_files, end):
+    whole = '<c><t id="1"><u who="A"><w>x</w></u></t>'
+    (tmp_path / "file.xml").write_text(f'{whole}<t id="2"><u who="A"><w>y</w></u>{end}')
+    with pytest.raises(Exception, match="split_files=False|MALFORMED|FAILED_READ_FILE"):
+        tg.ingest_transcripts(spark, str(tmp_path), layout(), split_files).collect()
+
+
+@pytest.mark.parametrize("split_files", [False, True])
+def test_comments_and_data_inside_a_row(spark, tmp_path, split_files):
+    word = "<w><![CDATA[a<t b]]></w><!-- <t> --><w>c</w>"
+    (tmp_path / "file.xml").write_text(f'<c><t id="1"><u who="A">{word}</u></t></c>')
+    rows = tg.ingest_transcripts(spark, str(tmp_path), layout(), split_files).collect()
+    assert [r.words for r in rows] == [["a<t b", "c"]]
+
+
+ANNOTATED = '<w n="1">ice-cream<mor type="mor">n|ice+cream</mor></w><w n="2">don’t</w><w n="3"/>'
+
+
+def test_word_elements_are_kept(spark, tmp_path, rows_of):
+    (tmp_path / "file.xml").write_text(f'<c><t id="1"><u who="A">{ANNOTATED}</u></t></c>')
+    word = T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_n", T.LongType())])
+    parts = T.StructType([T.StructField("_who", T.StringType()), T.StructField("w", T.ArrayType(word))])
+    schema = T.StructType([NESTED["_id"], T.StructField("u", T.ArrayType(parts))])
+    rows = tg.ingest_transcripts(spark, str(tmp_path), layout(schema=schema, word="_VALUE"))
+    assert [(r.text, r.words) for r in rows.collect()] == [
+        ("ice-cream don’t", ["ice-cream", "don’t"])
+    ]
+    assert rows_of(tg.tokens(rows), "token_order", "word") == [(1, "ice-cream"), (2, "don't")]
+    assert rows_of(tg.mlu_w(rows)) == [("A", 1, 2, 2.0)]
+    with pytest.raises(Exception, match="markup"):
+        tg.ingest_transcripts(spark, str(tmp_path), layout()).collect()
+
+
 def test_layouts_that_do_not_add_up():
     with pytest.raises(ValueError, match="text field"):
         layout(text="text")

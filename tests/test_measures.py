@@ -38,16 +38,31 @@ def test_null_counts_zero_whatever_size_of_null_is(spark, utterances, rows_of):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+WORD = r"[\p{L}\p{N}\p{M}]++(?:['’][\p{L}\p{N}\p{M}]++)*+"
+
+
 def test_capital_letters_that_depend_on_context(spark):
     texts = ["İstanbul DA", "ΑΣ.Β", "ΑΣ", "Α.Σ"]
     df = spark.createDataFrame([(text,) for text in texts], "text string")
     rows = df.select("text", tg.words(F.col("text")).alias("w"), tg.word_count(F.col("text")))
     for text, words, count in rows.collect():
-        runs = regex.findall(r"[\p{L}\p{N}']+", text)
-        assert words == [run.lower() for run in runs]
+        runs = regex.findall(WORD, text)
+        assert words == [run.replace("’", "'").lower() for run in runs]
         assert count == len(runs)
 
 
+def test_words_with_marks_and_apostrophes(spark):
+    texts = {
+        "cafe\u0301s": ["cafe\u0301s"],
+        "हिन्दी": ["हिन्दी"],
+        "'hello' don’t ' x'' o'clock's": ["hello", "don't", "x", "o'clock's"],
+        "a'" * 20_000: ["a'" * 19_999 + "a"],
+    }
+    df = spark.createDataFrame([(text,) for text in texts], "text string")
+    for text, words in df.select("text", tg.words(F.col("text"))).collect():
+        assert words == texts[text]
+
+
 ALPHABET = "abzABZ019 '.,-\n\t’ßéÉñÑüÜçøØłŁжЖאあ中ⅣÀİΣσΑ𝐀́"
 
 
@@ -57,8 +72,8 @@ def test_words_are_the_runs_lower_cased(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     rows = df.select("i", tg.words(F.col("text")).alias("w"), tg.word_count(F.col("text")))
     for i, words, count in rows.collect():
-        runs = regex.findall(r"[\p{L}\p{N}']+", texts[i])
-        assert words == [run.lower() for run in runs]
+        runs = regex.findall(WORD, texts[i])
+        assert words == [run.replace("’", "'").lower() for run in runs]
         assert count == len(runs)
 
 
@@ -233,7 +248,39 @@ def test_with_corpus_is_the_same_on_every_path(spark, salts, broadcast, rows_of)
             (1, "B", 200),
             (2, "B", 200),
             (3, None, 200),
+            (4, None, 200),
             (7, "A", 2000),
         ]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bins_of_decimal_width(spark):
+    times = [(x, "a", "S") for x in (0.0, 0.1, 0.2, 0.3, 0.6, 0.7, -0.1)]
+    df = spark.createDataFrame(times, "age double, text string, speaker string")
+    curve = tg.growth_curve(df, "mlu_w", "age", 0.1)
+    assert [r["bin"] for r in curve.collect()] == [-1, 0, 1, 2, 3, 6, 7]
+    whole = spark.createDataFrame([(7, "a", "S"), (-1, "a", "S")], "t long, text string, speaker string")
+    assert [r["bin"] for r in tg.growth_curve(whole, "mlu_w", "t", 3).collect()] == [-1, 2]
+
+
+def test_orphans_and_repeated_transcripts(spark, utterances, rows_of):
+    transcripts = spark.createDataFrame([(1, "A"), (1, "A")], "transcript_id long, corpus string")
+    joined = tg.with_corpus(utterances, transcripts)
+    assert joined.count() == 8 and joined.where("corpus IS NULL").count() == 4
+    assert rows_of(tg.with_corpus(utterances, transcripts, salts=3)) == rows_of(joined)
+    both = tg.population(utterances, transcripts)
+    keys = ["corpus", "speaker"]
+    assert rows_of(both, *keys, "n_utterances") == rows_of(tg.population_utterances(joined))
+    assert rows_of(both, *keys, "n_tokens") == rows_of(tg.population_tokens(joined))
+    unlike = transcripts.union(spark.createDataFrame([(1, "B")], transcripts.schema))
+    with pytest.raises(Exception, match="more than one corpus"):
+        tg.with_corpus(utterances, unlike).collect()
+
+
+@pytest.mark.parametrize("measure", ["mlu_w", "ttr"])
+def test_curve_over_a_time_of_the_transcripts(spark, utterances, rows_of, measure):
+    transcripts = spark.createDataFrame([(1, 24.5)], "transcript_id long, age double")
+    aged = utterances.withColumn("age", F.when(F.col("transcript_id") == 1, 24.5))
+    curve = tg.growth_curve_by_transcript(utterances, transcripts, measure, "age", 12)
+    assert rows_of(curve) == rows_of(tg.growth_curve(aged, measure, "age", 12))

@@ -31,7 +31,7 @@ def utterances(spark):
     return driver._utterances(spark, SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver._own_queries()))
 def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, name):
     tree = steps(driver.queries()[name](spark, SF_DIR))
     for step in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "ArrowEval", "SortAggregate"):
@@ -164,25 +164,14 @@ def test_digests_keep_wide_text_out_of_the_shuffle(spark):
     assert "unhex(sha2(" in text
 
 
-def test_only_a_scan_in_few_pieces_is_spread(spark, tmp_path):
+def test_a_scan_is_spread_only_on_request(spark):
     few = spark.range(0, 1000, 1, numPartitions=2)
-    many = spark.range(0, 1000, 1, numPartitions=64)
-    assert "Exchange" in steps(tg.spread(few))
-    assert tg.spread(many) is many
-    assert tg.spread(few).count() == 1000
-    many.write.parquet(str(tmp_path / "many"))
-    files = spark.read.parquet(str(tmp_path / "many"))
-    assert files.rdd.getNumPartitions() < 64 and tg.spread(files) is files
-
-
-def test_one_row_group_is_spread_however_many_splits_are_planned(spark):
-    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
-    try:
-        documents = driver._documents(spark, SF_DIR)
-        assert documents.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-        assert "Exchange" in steps(tg.spread(documents))
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert "Exchange" in steps(tg.spread(few)) and tg.spread(few).count() == 1000
+    base = driver._release_store(spark, SF_DIR)
+    for spread_scan in (False, True):
+        tree = steps(plans.frequency(spark, base, ["en"], spread_scan=spread_scan))
+        # One exchange is that of the counts.
+        assert tree.count("Exchange") == 1 + spread_scan
 
 
 def test_a_lookup_is_broadcast_only_if_measured_small(spark):
@@ -204,16 +193,45 @@ def test_a_lookup_is_broadcast_only_if_measured_small(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_an_analysis_of_some_corpora_does_not_shuffle_the_text(spark):
+@pytest.mark.parametrize("analysis", [plans.frequency, plans.population_properties])
+def test_corpora_are_picked_in_the_scan_and_before_counting(spark, analysis):
     base = driver._release_store(spark, SF_DIR)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        tree = steps(plans.frequency(spark, base, corpora=["src0"]))
-        assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree
+        picked = analysis(spark, base, corpora=["src0"])
+        tree = steps(picked)
+        pick = tree.index("BroadcastHashJoin LeftSemi")
+        # Printed from the result down to the scans: what comes after the pick feeds it.
+        assert "HashAggregate" in tree[:pick]
+        below = tree[pick:].split("BroadcastExchange")[0]
+        assert "Exchange" not in below and "Aggregate" not in below
+        assert "EqualTo(corpus,src0)" in plan(picked)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_curve_over_transcripts_joins_counts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for measure in ("mlu_w", "ttr"):
+            curve = tg.growth_curve_by_transcript(
+                driver._lines(spark, SF_DIR).drop("corpus"),
+                driver._documents(spark, SF_DIR).selectExpr("doc_id transcript_id", "n_chars"),
+                measure,
+                "n_chars",
+                100,
+            )
+            tree = steps(curve)
+            assert "HashAggregate" in tree[tree.index("SortMergeJoin") :]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_unique_keys_take_one_shuffle(spark):
+    tree = steps(driver.queries()["compare_releases_unique"](spark, SF_DIR))
+    assert tree.count("Exchange") == 1
+
+
 def test_derived_tables_go_to_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
@@ -244,3 +262,5 @@ def test_settings():
 
     assert dict(configured(Builder())) == SETTINGS
     assert dict(configured(Builder(), large=True)) == {**SETTINGS, **LARGE}
+    own = dict(configured(Builder(), shuffle_partitions=7))
+    assert own == {**SETTINGS, "spark.sql.shuffle.partitions": "7"}

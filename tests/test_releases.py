@@ -121,7 +121,7 @@ def test_read_release_refuses(spark, store):
     with pytest.raises(AnalysisException):
         tg.read_release(spark, store, "transcripts", "2018.1")
     with pytest.raises(ValueError, match="release name"):
-        tg.write_release(spark.range(1), store, "transcripts", "../2018.1")
+        tg.write_release(spark.range(1), store, "transcripts", "../2018.1", schema="id long")
 
 
 def test_read_release_with_a_schema_of_ones_own(spark, store):
@@ -145,6 +145,62 @@ def test_writing_a_release_again_replaces_only_it(spark, store, utterances):
     assert tg.read_release(spark, store, "utterances", "2018.1").count() == 0
 
 
+def test_written_columns_are_those_that_are_read(spark, tmp_path, utterances):
+    base = str(tmp_path / "own")
+    odd = utterances.selectExpr(
+        "cast(transcript_id AS decimal(20,0)) AS transcript_id",
+        "utterance_order",
+        "speaker",
+        "text",
+        "24.5D AS age",
+    )
+    with pytest.warns(UserWarning, match="age"):
+        tg.write_release(odd, base, "utterances", "1")
+    assert tg.read_releases(spark, base, "utterances").count() == 8
+    own = "transcript_id long, speaker string, age double"
+    tg.write_release(odd, base, "utterances", "2", schema=own)
+    assert tg.read_releases(spark, base, "utterances", own).where("age = 24.5").count() == 8
+    with pytest.raises(ValueError, match="has no speaker"):
+        tg.write_release(odd.drop("speaker"), base, "utterances", "3")
+
+
+def test_a_manifest_is_one_file(spark, tmp_path, rows_of):
+    path = str(tmp_path / "m.json")
+    tg.write_manifest(spark, path, ["a", "b"], "b")
+    tg.write_manifest(spark, path, ["a", "b"], "a")
+    assert rows_of(tg.load_manifest(spark, path)) == [("a", True), ("b", False)]
+    with pytest.raises(ValueError, match="current"):
+        tg.write_manifest(spark, path, ["a"], "b")
+    page = '{"current": "a", "supported": ["a"]}'
+    for name in ("x", "y"):
+        (tmp_path / "two").mkdir(exist_ok=True)
+        (tmp_path / "two" / name).write_text(page)
+    with pytest.raises(Exception, match="exactly one file"):
+        tg.load_manifest(spark, str(tmp_path / "two")).collect()
+
+
+def test_a_mirrored_store_opens(spark, store, tmp_path, rows_of):
+    out = str(tmp_path / "copy")
+
+    def source(table, release):
+        return tg.read_release(spark, store, table, release)
+
+    tg.mirror_store(spark, source, ["utterances"], ["2018.1", "2020.1"], "2020.1", out)
+    for version in ("2018.1", "2020.1", None):
+        copy = tg.read_release(spark, out, "utterances", version)
+        assert rows_of(copy) == rows_of(tg.read_release(spark, store, "utterances", version))
+
+
+def test_compare_unique_keys(spark, rows_of):
+    old = [("A", str(i), "main" if i % 3 else None, "x") for i in range(8)]
+    new = [("A", str(i), "main" if i % 2 else None, "x" if i % 5 else None) for i in range(2, 9)]
+    old, new = (spark.createDataFrame([*rows, (None, "n", "main", "x")], SCHEMA) for rows in (old, new))
+    plain = tg.compare_releases(old, new, KEYS, ATTRS)
+    assert rows_of(tg.compare_releases(old, new, KEYS, ATTRS, unique_keys=True)) == rows_of(plain)
+    with pytest.raises(Exception, match="repeated"):
+        tg.compare_releases(old.union(old), new, KEYS, ATTRS, unique_keys=True).collect()
+
+
 def test_mirror(spark, store, tmp_path, rows_of):
     out = str(tmp_path / "mirror")
 
