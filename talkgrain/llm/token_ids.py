@@ -40,9 +40,9 @@ def _schema(id_type: str) -> str:
 class WordEncoder:
     """Encodes texts word by word, remembering words.
 
-    A tokenizer that treats white space only as a word boundary gives the same ids for a text and
-    for its words one after the other. Words of letters are looked up in lower case and without
-    one stop or comma, which ``lower`` and ``punctuation`` allow for the tokenizer in question.
+    A tokenizer that lower-cases, and to which white space is no more than a word boundary, gives
+    the same ids for a text and for its words one after the other. Words of letters before one
+    stop or comma are remembered without it.
     """
 
     def __init__(self, model: str, special_as_text: bool, split_words: bool):
@@ -51,44 +51,50 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = special_as_text
         self.split_words = split_words
         self.known: dict[bytes, bytes] = {}
+        self.letters: dict[bytes, bytes] = {b"": b""}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, missing: list[bytes]) -> None:
-        """Words that differ in case or in a last stop or comma are encoded once."""
-        plain: dict[str, bytes] = {}
-        forms = []
+        letters, forms, others, new = self.letters, [], [], []
         for word in missing:
-            text, end = word.decode(), ""
-            if text[-1] in ".,":
-                text, end = text[:-1], text[-1]
-            if text.isalpha() and "Σ" not in text:
-                text = text.lower()
+            end = word[-1:] if word[-1] in b".," else b""
+            body = word[: len(word) - len(end)]
+            if body in letters:
+                forms.append((word, body, end))
+            # Letters beyond ASCII may be composed or lower-cased with what is beside them.
+            elif body.isalpha() or body.decode().isalpha():
+                forms.append((word, body, end))
+                new.append(body)
             else:
-                text, end = word.decode(), ""
-            forms.append((word, text, end))
-        wanted = dict.fromkeys(text for _, text, _ in forms)
-        wanted |= dict.fromkeys(end for _, _, end in forms if end)
-        names = list(wanted)
-        for i in range(0, len(names), 20_000):
-            plain.update(zip(names[i : i + 20_000], self._encoded(names[i : i + 20_000])))
-        plain[""] = b""
-        for word, text, end in forms:
-            self.known[word] = plain[text] + plain[end]
+                others.append(word)
+        new = list(dict.fromkeys([*new, *(e for e in (b".", b",") if e not in letters)]))
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            letters.update(zip(part, self._encoded([w.decode() for w in part])))
+        for word, body, end in forms:
+            self.known[word] = letters[body] + letters[end]
+        for at in range(0, len(others), 20_000):
+            part = others[at : at + 20_000]
+            self.known.update(zip(part, self._encoded([w.decode() for w in part])))
 
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """By text, the ids as little-endian unsigned 32-bit integers, and then ``end``."""
         if not self.split_words:
             return [x + end for x in self._encoded([t.decode() for t in texts])]
-        cut = [t.split() for t in texts]
+        # A to Z are lower-cased at once; where a special token could be spelt, by the tokenizer.
+        cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.known) > MOST_WORDS:
             self.known.clear()
-        missing = {w for words in cut for w in words if w not in self.known}
+        if len(self.letters) > MOST_WORDS:
+            self.letters = {b"": b""}
+        known = self.known
+        missing = [w for w in set().union(*cut) if w not in known]
         if missing:
-            self._learn(list(missing))
-        get = self.known.__getitem__
+            self._learn(missing)
+        get = known.__getitem__
         return [b"".join(map(get, words)) + end for words in cut]
 
 
