@@ -102,5 +102,66 @@ def queries() -> dict[str, Query]:
     }
 
 
+# Places count from 1 here. The tables have no null ids.
+_SUBSTRINGS = r"""
+WITH cut AS (
+    SELECT doc_id, list_filter(
+        regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM cut)),
+firsts AS (SELECT k, min(doc_id) AS first FROM windows GROUP BY k),
+repeated AS (SELECT doc_id, i FROM windows JOIN firsts USING (k) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM repeated, range(50) AS t(j)),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM cut),
+marked AS (
+    SELECT words.*, gone.p IS NOT NULL AS removed
+    FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p),
+kept AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (removed) AS n_removed,
+           string_agg(word, ' ' ORDER BY p) FILTER (NOT removed) AS kept
+    FROM marked GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)"""
+
+_CONTAMINATED = r"""
+WITH plain AS (
+    SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS text FROM documents
+    UNION ALL SELECT 'i', item_id, coalesce(text, '') FROM benchmark),
+cut AS (
+    SELECT side, id, list_filter(
+        regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+        lambda w: w <> '') AS w
+    FROM plain),
+items AS (
+    SELECT DISTINCT id AS item_id, w[i:i + n - 1] AS win, n
+    FROM (SELECT id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 8, 2))) AS i
+          FROM cut WHERE side = 'i' AND len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM items),
+windows AS (
+    SELECT id AS doc_id, n, i, w[i:i + n - 1] AS win
+    FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM cut, lengths WHERE side = 'd' AND len(w) >= n)),
+hits AS (
+    SELECT doc_id, i, windows.n, item_id FROM windows JOIN items USING (win)),
+places AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hits),
+n_hits AS (SELECT doc_id, count(*) AS n_hit FROM places GROUP BY doc_id),
+found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::varchar AS item FROM hits) GROUP BY doc_id)
+SELECT cut.id AS doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM cut LEFT JOIN n_hits ON cut.id = n_hits.doc_id LEFT JOIN found ON cut.id = found.doc_id
+WHERE side = 'd'"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Fingerprints, fitted models, tokenizers and guarded patterns are not expressed in SQL;
+    those queries are tested against plain versions."""
+    return {"op4_decontamination": _CONTAMINATED, "op10_substrings": _SUBSTRINGS}
