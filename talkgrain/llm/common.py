@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,13 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches of a partition cut small, which bounds what a task makes of texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 # --------------------------------------------------------------------- hashes as NumPy arrays
 
 _BASE = 0x9E3779B97F4A7C15

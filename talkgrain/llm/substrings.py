@@ -16,6 +16,7 @@ from talkgrain.llm.common import (
     bloom_filter,
     in_bloom,
     mixed,
+    pieces,
     sliding_min,
     text_key,
     window_hashes,
@@ -42,8 +43,8 @@ def _candidates(words: np.ndarray, length: int, blooms: list[tuple[int, np.ndarr
 
 def _level_keys(batches, length, level, blooms) -> Iterator[pa.RecordBatch]:
     """One row per document and distinct key: the least ``level``-word hash inside a window."""
-    for batch in batches:
-        ids, keys, checks = [], [], []
+    for batch in pieces(batches):
+        ids, keys = [], []
         for i, text in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist()):
             words = _word_hashes(text)
             starts = _candidates(words, length, blooms.value)
@@ -61,7 +62,7 @@ def _level_keys(batches, length, level, blooms) -> Iterator[pa.RecordBatch]:
 
 def _window_rows(batches, length, blooms) -> Iterator[pa.RecordBatch]:
     """One row per window that may be repeated, with 96 bits of hash of its words."""
-    for batch in batches:
+    for batch in pieces(batches):
         out: list[list[np.ndarray]] = [[], [], [], [], []]
         columns = (batch.column(c).to_pylist() for c in ("_id", "_key", "_text"))
         for i, key, text in zip(*columns):
@@ -88,7 +89,7 @@ def _window_rows(batches, length, blooms) -> Iterator[pa.RecordBatch]:
 
 
 def _kept_rows(batches, length) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         ids = batch.column("doc_id")
         n_words, n_removed, digests, kept_texts = [], [], [], []
         columns = (batch.column(c).to_pylist() for c in ("_text", "_starts"))
