@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from talkgrain.llm.common import let, split_words, written
 
-_FULL = -1
-
 
 def best_fit(
     lengths: list[int], sources: list[int], clusters: list[int], capacity: int
@@ -86,50 +84,47 @@ def pack(
     capacity: int = 2048,
     shard_rows: int = 4096,
     id_col: str = "doc_id",
+    text_col: str = "text",
     length: Column | None = None,
-    source: Column | str | None = "source",
-    cluster: Column | str | None = None,
+    source: Column | None = None,
+    cluster: Column | None = None,
 ) -> DataFrame:
     """Place every document in bins of ``capacity`` tokens, a row per piece.
 
     Returns ``doc_id``, ``piece`` (from 0), ``n_tokens``, ``bin_id``, ``bin_offset``. A document
     longer than a bin is cut into full bins of its own and a rest. No two rests or short documents
     in a bin have the same source or the same cluster of duplicates; a null source or cluster is in
-    conflict with nothing, and without ``cluster`` equal texts are one. By default the length is
-    the number of words of ``text``, and one more for the end of the document; a null text is
-    that one. A length of null or less counts as 0 and takes a place of no room.
+    conflict with nothing. By default the source is the column of that name, equal texts are a
+    cluster, and the length is the number of words of the text, and one more for the end of the
+    document; a null text is that one. A length of null or less counts as 0 and takes a place of
+    no room.
 
     Documents are dealt by a hash of their row number to shards of about ``shard_rows``, so no
     source, cluster or id makes a large one, and each shard is packed by itself: only numbers
     are shuffled, and the number of bins left part full is a few for each shard. Rows that are
     repeated are placed each. Other columns are not read.
     """
-    spark = docs.sparkSession
-    words = let(
-        split_words(F.col("text")) if length is None or cluster is None else F.lit(None),
+    by_text = let(
+        split_words(F.col(text_col)),
         lambda w: F.struct(
-            (F.array_size(w) + 1).alias("n"), F.xxhash64(F.array_join(w, " ")).alias("hash")
+            (F.array_size(w) + 1).alias("length"), F.xxhash64(F.array_join(w, " ")).alias("cluster")
         ),
     )
-    no_text = length is not None and cluster is not None
+    needs_text = length is None or cluster is None
     found = docs.select(
         F.col(id_col).alias("doc_id"),
-        (F.lit(None).cast("string") if source is None else _column(source).cast("string")).alias(
-            "source"
-        ),
-        (F.lit(None) if no_text else words).alias("w"),
-        *([] if length is None else [length.alias("length")]),
-        *([] if cluster is None else [_column(cluster).alias("cluster")]),
+        (F.col("source") if source is None else source).cast("string").alias("source"),
+        (F.lit(None) if length is None else length).alias("own_length"),
+        (F.lit(None) if cluster is None else cluster).alias("own_cluster"),
+        (by_text if needs_text else F.lit(None)).alias("by_text"),
     )
-    if length is None:
-        found = found.withColumn("length", F.col("w.n"))
-    if cluster is None:
-        found = found.withColumn("cluster", F.col("w.hash"))
+    length = F.col("by_text.length" if length is None else "own_length").cast("long")
+    cluster = F.col("by_text.cluster" if cluster is None else "own_cluster").cast("string")
     numbered = found.select(
         "doc_id",
         "source",
-        F.col("cluster").cast("string").alias("cluster"),
-        F.greatest(F.coalesce(F.col("length").cast("long"), F.lit(0)), F.lit(0)).alias("length"),
+        cluster.alias("cluster"),
+        F.greatest(F.coalesce(length, F.lit(0)), F.lit(0)).alias("length"),
         F.monotonically_increasing_id().alias("_row"),
     )
     table = written(numbered, "lengths")
@@ -146,7 +141,3 @@ def pack(
     return pieces.select(
         "doc_id", "piece", "n_tokens", bin_id.alias("bin_id"), F.col("offset").alias("bin_offset")
     )
-
-
-def _column(of: Column | str) -> Column:
-    return F.col(of) if isinstance(of, str) else of

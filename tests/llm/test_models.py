@@ -133,7 +133,7 @@ def test_packing_of_odd_rows(odd):
     assert sum(r["n_tokens"] for r in rows) == sum(1 + len((t or "").split()) for _, t in ODD)
     assert sum(r["piece"] == 0 for r in rows) == len(ODD)
     assert pack(docs.limit(0)).collect() == []
-    none = pack(odd, length=F.lit(None), source=None, cluster=F.lit(1)).collect()
+    none = pack(odd, length=F.lit(None), source=F.lit(None), cluster=F.lit(1)).collect()
     assert len({r["bin_id"] for r in none}) == len(ODD)
 
 
