@@ -21,7 +21,7 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, and not lost with an executor."""
+    """``df`` as a Parquet table in the shared folder: computed once, and safe from lost executors."""
     spark = df.sparkSession
     folder = f"{shared_folder(spark, name)}/{uuid.uuid4().hex}"
     df.write.parquet(folder)

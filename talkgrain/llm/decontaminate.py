@@ -32,7 +32,9 @@ def item_windows(benchmark: DataFrame, length: int, id_col: str, text_col: str)
 
     An item of fewer words is one window; an item without words has none.
     """
-    words = benchmark.select(F.col(id_col).alias("item_id"), plain_words(F.col(text_col)).alias("w"))
+    words = benchmark.select(
+        F.col(id_col).alias("item_id"), plain_words(F.col(text_col)).alias("w")
+    )
     n = F.array_size("w")
     starts = F.sequence(F.lit(1), F.greatest(n - (length - 1), F.lit(1)))
     windows = F.transform(starts, lambda i: F.slice("w", i, length))
@@ -40,7 +42,7 @@ def item_windows(benchmark: DataFrame, length: int, id_col: str, text_col: str)
 
 
 def _bitmap(values: DataFrame, column: str, most_bits: int) -> tuple[str, int]:
-    """A one-hash filter of the words in ``column`` as the text of an array of longs, and its bits."""
+    """A one-hash filter of the words in ``column``: an array of longs as text, and its bits."""
     n, bits = values.count(), 1 << 10
     while bits < min(64 * n, most_bits):
         bits *= 2

@@ -80,7 +80,7 @@ class LanguageFilter:
             for place in self._places(found):
                 self.slices[i // 64][place] |= np.uint64(1 << i % 64)
         # How often a language answers for an n-gram that it does not have.
-        filled = [np.mean(self.slices[i // 64] >> np.uint64(i % 64) & np.uint64(1)) for i in range(len(languages))]
+        filled = [self._bit(self.slices, i).mean() for i in range(len(languages))]
         self.false = np.array(filled) ** probes
 
     def _places(self, hashes: np.ndarray) -> Iterator[np.ndarray]:
@@ -88,6 +88,10 @@ class LanguageFilter:
         for i in range(self.probes):
             yield ((hashes >> np.uint64(20 * i)) & last).astype(np.int64)
 
+    @staticmethod
+    def _bit(slices: np.ndarray, language: int) -> np.ndarray:
+        return slices[language // 64] >> np.uint64(language % 64) & np.uint64(1)
+
     def masks(self, hashes: np.ndarray) -> np.ndarray:
         places = list(self._places(hashes))
         found = self.slices[:, places[0]]
@@ -102,7 +106,7 @@ class LanguageFilter:
         total = np.bincount(of, minlength=n_texts)
         out = np.zeros((n_texts, len(self.languages)))
         for i, false in enumerate(self.false):
-            held = (masks[i // 64] >> np.uint64(i % 64) & np.uint64(1)).astype(np.float64)
+            held = self._bit(masks, i).astype(np.float64)
             counted = np.bincount(of, held, n_texts)
             out[:, i] = np.maximum(counted - total * false, 0) / (1 - false)
         return out

@@ -53,7 +53,8 @@ def mod_97(match: Column) -> Column:
         value = F.ascii(char) - F.when(char.between("0", "9"), 48).otherwise(55)
         return (rest * F.when(value < 10, 10).otherwise(100) + value) % 97
 
-    return F.aggregate(F.split(moved, ""), F.lit(0), lambda r, c: F.when(c == "", r).otherwise(add(r, c))) == 1
+    chars = F.array_remove(F.split(moved, ""), "")
+    return F.aggregate(chars, F.lit(0), add) == 1
 
 
 def _n_digits(least: int, most: int):
@@ -77,15 +78,17 @@ class Kind:
     needs: str = ""
 
 
+_PHONE_WORDS = r"(?i)\b(tel|phone|call|fax|mobile|cell)\b"
+
 KINDS = (
     Kind("email", EMAIL, None, 0.7, r"(?i)\b(e-?mail|contact|write|reply|mailto)\b", needs="@"),
     Kind("ip", IP, _small_parts, 0.5, r"(?i)\b(ip|host|server|address|login|ping)\b"),
     Kind("card", CARD, luhn, 0.6, r"(?i)\b(card|visa|credit|debit|payment|karte|tarjeta|carte)\b"),
-    Kind("phone", PHONE, _n_digits(9, 15), 0.6, r"(?i)\b(tel|phone|call|fax|mobile|cell)\b", needs="+"),
+    Kind("phone", PHONE, _n_digits(9, 15), 0.6, _PHONE_WORDS, needs="+"),
     Kind("iban", IBAN, mod_97, 0.6, r"(?i)\b(iban|account|bank|konto|cuenta|compte)\b", base=False),
     Kind("ssn", SSN, None, 0.3, r"(?i)\b(ssn|social security)\b", base=False),
-    Kind("local_phone", LOCAL_PHONE, None, 0.3, r"(?i)\b(tel|phone|call|fax|mobile|cell)\b", base=False),
-)
+    Kind("local_phone", LOCAL_PHONE, None, 0.3, _PHONE_WORDS, base=False),
+)
 
 
 def _found(text: Column, kind: Kind, threshold: float) -> Column:
@@ -123,7 +126,9 @@ def find_pii(
     base = [_found(text, kind, threshold) for kind in KINDS if kind.base]
     added = [_found(text, kind, threshold) for kind in KINDS if not kind.base]
     found = docs.select(
-        F.col(id_col).alias("doc_id"), F.concat(*base).alias("_base"), F.concat(*added).alias("_more")
+        F.col(id_col).alias("doc_id"),
+        F.concat(*base).alias("_base"),
+        F.concat(*added).alias("_more"),
     )
     apart = F.filter(
         "_more",

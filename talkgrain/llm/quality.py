@@ -209,7 +209,8 @@ def fit_votes(votes: DataFrame, n_rules: int, rounds: int = 200) -> VoteModel:
         base, weights = model.log_odds(), model.weights()
         good = total = 0.0
         # Small counts that keep every rate inside (0, 1).
-        on_good, on_bad = ([[0.995, 1.0] for _ in range(n_rules)], [[0.2, 1.0] for _ in range(n_rules)])
+        on_good = [[0.995, 1.0] for _ in range(n_rules)]
+        on_bad = [[0.2, 1.0] for _ in range(n_rules)]
         for vote, n in patterns:
             score = base + sum(w[0] if v > 0 else w[1] for v, w in zip(vote, weights) if v)
             p = 1 / (1 + math.exp(-max(-500.0, min(500.0, score))))
@@ -222,7 +223,9 @@ def fit_votes(votes: DataFrame, n_rules: int, rounds: int = 200) -> VoteModel:
                     on_bad[i][1] += n * (1 - p)
         rates = [tuple(a / b for a, b in found) for found in (on_good, on_bad)]
         fitted = VoteModel(min(0.99, max(0.01, good / total)), *rates)
-        moved = max(abs(a - b) for a, b in zip((model.prior, *model.on_good, *model.on_bad), (fitted.prior, *rates[0], *rates[1])))
+        before = (model.prior, *model.on_good, *model.on_bad)
+        after = (fitted.prior, *fitted.on_good, *fitted.on_bad)
+        moved = max(abs(x - y) for x, y in zip(before, after))
         model = fitted
         if moved < 1e-9:
             break

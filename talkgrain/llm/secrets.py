@@ -76,9 +76,10 @@ def scan_unseen(
     """
     spark = versions.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    wanted = F.array(
-        *(F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules)
-    )
+    named = {
+        r: F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules
+    }
+    wanted = F.array(*named.values())
     texts = versions.select(content_address(F.col(text_col)).alias("blob"), text.alias("_text"))
     missing = wanted
     before = _ledger(spark, ledger)
@@ -89,11 +90,10 @@ def scan_unseen(
         )
         # Only hashes are compared; a text that has been scanned in full is not shuffled for it.
         asked = texts.select("blob").distinct().join(seen, "blob", "left")
-        asked = asked.select(
-            "blob", F.array_except(wanted, F.coalesce("_seen", F.slice(wanted, 1, 0))).alias("_todo")
-        ).where(F.size("_todo") > 0)
-        todo = texts.join(asked, "blob").groupBy("blob")
-        blobs = todo.agg(F.first("_text").alias("_text"), F.first("_todo").alias("_todo"))
+        todo = F.array_except(wanted, F.coalesce("_seen", F.slice(wanted, 1, 0))).alias("_todo")
+        asked = asked.select("blob", todo).where(F.size("_todo") > 0)
+        unseen = texts.join(asked, "blob").groupBy("blob")
+        blobs = unseen.agg(F.first("_text").alias("_text"), F.first("_todo").alias("_todo"))
         missing = F.col("_todo")
     else:
         blobs = texts.groupBy("blob").agg(F.first("_text").alias("_text"))
@@ -103,13 +103,10 @@ def scan_unseen(
                 F.lit(r.name).alias("rule"),
                 F.lit(r.version).alias("version"),
                 F.when(
-                    F.array_contains(
-                        missing, F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"))
-                    ),
-                    _matches(F.col("_text"), r),
+                    F.array_contains(missing, name), _matches(F.col("_text"), r)
                 ).alias("spans"),
             )
-            for r in rules
+            for r, name in named.items()
         )
     )
     rows = blobs.select("blob", F.inline(found)).where(F.col("spans").isNotNull())
@@ -151,7 +148,9 @@ def find_secrets(
         .groupBy("blob")
         .agg(F.sort_array(F.collect_set(F.struct("start", "_order", "rule", "end"))).alias("spans"))
     )
-    paths = docs.select(F.col(id_col).alias("doc_id"), content_address(F.col(text_col)).alias("blob"))
+    paths = docs.select(
+        F.col(id_col).alias("doc_id"), content_address(F.col(text_col)).alias("blob")
+    )
     empty = F.array().cast("array<struct<start:bigint,_order:int,rule:string,end:bigint>>")
     return paths.join(hits, "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", empty).alias("spans")
@@ -188,12 +187,13 @@ def redacted(text: Column, found: Column, mark: str = "[secret]") -> Column:
         first = F.array_size(done["parts"]) == 0
         return F.struct(
             F.greatest(done["at"], span["end"]).alias("at"),
-            F.when(apart | first, F.concat(done["parts"], F.array(F.when(apart, gap).otherwise(""))))
+            F.when(apart | first, F.array_append(done["parts"], F.when(apart, gap).otherwise("")))
             .otherwise(done["parts"])
             .alias("parts"),
         )
 
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
+    no_parts = F.array().cast("array<string>").alias("parts")
+    begin = F.struct(F.lit(0).cast("long").alias("at"), no_parts)
     cut = F.aggregate(found, begin, add)
     whole = let(
         cut,

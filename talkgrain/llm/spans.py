@@ -58,9 +58,8 @@ def spans(text: Column, pattern: str, context: int = 40) -> Column:
                 "end", s["end"] + done["at"]
             ),
         )
-        return F.struct(
-            (done["at"] + block["at"]).alias("at"), F.array_append(done["blocks"], moved).alias("blocks")
-        )
+        blocks = F.array_append(done["blocks"], moved)
+        return F.struct((done["at"] + block["at"]).alias("at"), blocks.alias("blocks"))
 
     # An array grows by copying, so places are added up in blocks first: a text with many
     # matches then takes little more than linear time.

@@ -203,9 +203,8 @@ def _documents(spark, folder, id_type, name, kind, digest) -> DataFrame:
                 data = tokens.astype("<u4").tobytes()
                 counts = np.frombuffer(counts, "<u4").astype(np.int64)
                 ends = np.cumsum(counts)
-                found = [
-                    digest(data[4 * (e - c) : 4 * e]) for c, e in zip(counts.tolist(), ends.tolist())
-                ]
+                cuts = zip((4 * (ends - counts)).tolist(), (4 * ends).tolist())
+                found = [digest(data[start:end]) for start, end in cuts]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "part": pa.array(np.full(len(ids), part, np.int32)),
