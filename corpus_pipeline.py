@@ -31,11 +31,10 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     benchmark = spark.read.schema(SCHEMAS["benchmark"]).parquet(f"{sf_dir}/benchmark.parquet")
-    bad = contaminated(docs, benchmark).where("n_hit > 0").select(
-        F.col("doc_id").alias("_id"), F.col("_key").alias("_k")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & text_key(F.col("text")).eqNullSafe(F.col("_k"))
-    return docs.join(bad.distinct(), same, "anti")
+    found = contaminated(docs, benchmark).where("n_hit > 0")
+    bad = found.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k")).distinct()
+    same_id = F.col("doc_id").eqNullSafe(F.col("_id"))
+    return docs.join(bad, same_id & (text_key(F.col("text")) == F.col("_k")), "anti")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
