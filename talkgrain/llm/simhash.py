@@ -168,6 +168,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"),
         text_key(F.col(text_col)).alias("_key"),
     )
-    kept = keyed.join(chosen.select("c._id", "c._key"), ["_id", "_key"], "semi")
-    least = kept.groupBy("_id", "_key").agg(F.min("_row").alias("_row"))
-    return least.select(*(F.col("_row")[name].alias(name) for name in names))
+    # Rows alike in id and text are folded in the scan tasks, however many there are.
+    least = keyed.groupBy("_id", "_key").agg(F.min("_row").alias("_row"))
+    kept = least.join(chosen.select("c._id", "c._key"), ["_id", "_key"], "semi")
+    return kept.select(*(F.col("_row")[name].alias(name) for name in names))

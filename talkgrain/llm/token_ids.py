@@ -15,6 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
+from talkgrain.llm.common import text_key
 from talkgrain.llm.simple8b import decode, encode
 
 # A segment is a row of the file: it ends with the document that brings its text to this length.
@@ -128,8 +129,8 @@ def write_token_ids(
     """Encode every text with a tokenizer file and write the ids to ``folder``, by ascending id.
 
     Each document is the ids of its whole text (a null one is empty) and ``end_id``. Documents are
-    dealt out by ranges of their id and sorted inside them; rows of one id are ordered by text, and
-    a null id comes first. A file is a range (``part``); its rows are segments of about 4 MB of
+    dealt out by ranges of their id and sorted inside them; rows of one id are ordered by a hash of
+    the text and then as they were read, and a null id comes first. A file is a range (``part``); its rows are segments of about 4 MB of
     text with the ids in Simple-8b words (``words``, ``offsets`` of the blocks), the number of ids
     by document (``counts``) and of ids before the segment in its part (``first``). ``split_words``
     is for tokenizers to which white space is no more than a word boundary; each word is then
@@ -170,9 +171,14 @@ def write_token_ids(
             first += len(tokens)
 
     source = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("_text")
+        F.col(id_col).alias("doc_id"),
+        text_key(F.col(text_col)).alias("_key"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.col(text_col).cast("binary").alias("_text"),
     )
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "_text")
+    # An id of very many rows is spread over several ranges by what follows it.
+    order = ["doc_id", "_key", "_row"]
+    ordered = source.repartitionByRange(*order).sortWithinPartitions(*order)
     coded = ordered.mapInArrow(rows, _schema(id_type.simpleString()))
     coded.write.option("compression", "zstd").parquet(folder)
 

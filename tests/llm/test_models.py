@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from conftest import ODD, SF_DIR
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -171,7 +172,14 @@ def test_token_ids_of_documents(spark, documents, texts, rows_of, tmp_path):
 
 def test_token_ids_of_odd_rows(spark, odd, rows_of, tmp_path):
     write_token_ids(odd, TOKENIZER, str(tmp_path / "a"))
-    order = sorted(ODD, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] is not None, r[1] or "")))
+
+    def place(row):
+        """Null ids first; rows of one id by the signed hash of the text, 42 for a null one."""
+        i, text = row
+        key = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+        return i is not None, i or 0, key - (key >> 63 << 64)
+
+    order = sorted(ODD, key=place)
     got = [tuple(r) for r in token_digest(spark, str(tmp_path / "a")).orderBy("start").collect()]
     assert got == list(expected_tokens(order))
     write_token_ids(odd.limit(0), TOKENIZER, str(tmp_path / "b"))
