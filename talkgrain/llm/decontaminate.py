@@ -109,6 +109,9 @@ def contaminated(
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
+    # Written first: the join then has plain shuffles on both sides, which Spark can split where a
+    # word is in very many windows.
+    counts = written(counts, "word-counts")
     # The rarest word of each window, and where it stands; ties go to the word, then to the place.
     placed = distinct.select("window", F.posexplode("window").alias("at", "word"))
     rarest = (
