@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from talkgrain.llm.common import text_key
 from talkgrain.llm.decontaminate import contaminated
+from talkgrain.llm.jaccard import alike_groups
 from talkgrain.llm.packing import pack
 from talkgrain.llm.quality import keep_good
 from talkgrain.llm.queries import SCHEMAS
@@ -24,8 +25,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    return one_of_each_group(docs)
+    """One document of each group of near copies: the one with the smallest id.
+
+    Near copies have a Jaccard similarity of 0.8 or more of their five-word shingles.
+    """
+    return one_of_each_group(docs, groups_of=alike_groups)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,163 @@
+"""Near-duplicate documents by the Jaccard similarity of their word shingles."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from talkgrain.llm.common import bloom_filter, in_bloom, text_key, written
+from talkgrain.llm.components import connected_components
+from talkgrain.llm.simhash import near_duplicates
+
+_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+# Sets of up to ``_WHOLE`` hashes are listed whole, and of others the ``_LISTED`` smallest. Of these
+# the ``_MEET`` first, common ones last, meet those of other texts. Of small sets the share of which
+# two sets at the least similarity must have one in common is no more than that, so none is missed.
+# Two large sets at 0.8 share fewer than ``_SHARED`` with a probability of about 1e-8.
+_WHOLE, _LISTED, _MEET, _SHARED, _LARGE, _COMMON = 80, 48, 16, 3, 160, 64
+
+
+def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; a text of fewer words is one shingle."""
+    words = text.translate(_LOWER).split() if text else []
+    if not words:
+        return np.zeros(0, np.uint64)
+    n = max(1, len(words) - shingle + 1)
+    shingles = map(b" ".join, zip(*(words[i : i + n] for i in range(min(shingle, len(words))))))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64, n))
+
+
+def _node(hashes: np.ndarray) -> int:
+    """Names a set of shingles; equal sets have one name."""
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+
+
+def _listed(hashes: np.ndarray) -> list[int]:
+    """All hashes of a small set, the smallest of a larger one."""
+    return hashes[: len(hashes) if len(hashes) <= _WHOLE else _LISTED].view(np.int64).tolist()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets have a Jaccard similarity of ``least`` or more."""
+
+    def alike(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= least * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    first = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
+    second = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    return pairs.join(first, "a").join(second, "b").mapInArrow(alike, "a long, b long")
+
+
+def alike_groups(
+    docs: DataFrame,
+    least: float = 0.8,
+    shingle: int = 5,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most_bits: int = 1 << 28,
+) -> DataFrame:
+    """Each document with the name of its group of near copies: ``doc_id``, ``group_id``, ``_key``.
+
+    Two texts are linked if the Jaccard similarity of their sets of word shingles is ``least`` or
+    more, which is computed from the whole sets; groups are what links reach. Texts without words
+    are a group. Pairs come from SimHash groups of the same shingles, from the smallest hash of
+    each list, and then, across the groups found so far, from all texts that share hashes among
+    their smallest, those listed by over 64 texts last. No text is shuffled, and of texts that
+    are in no pair no set is.
+    """
+    id_type = docs.schema[id_col].dataType.simpleString()
+    keyed = docs.select(
+        F.col(id_col).alias("doc_id"),
+        text_key(F.col(text_col)).alias("_key"),
+        F.col(text_col).cast("binary").alias("_text"),
+    )
+
+    def listed(batches):
+        for batch in batches:
+            sets = [shingle_hashes(t, shingle) for t in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("_key"),
+                    pa.array([_node(s) for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([_listed(s) for s in sets], pa.list_(pa.int64())),
+                ],
+                ["doc_id", "_key", "node", "n", "mins"],
+            )
+
+    schema = f"doc_id {id_type}, _key long, node long, n long, mins array<long>"
+    table = written(keyed.mapInArrow(listed, schema), "shingle-lists")
+    nodes = table.groupBy("node").agg(F.first("n").alias("n"), F.first("mins").alias("mins"))
+    rows = written(nodes.select("node", "n", F.explode("mins").alias("h")), "smallest-hashes")
+    common = rows.groupBy("h").count().where(F.col("count") > _COMMON).select("h", F.lit(1).alias("_c"))
+    meet = F.least(F.lit(_MEET), F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1).cast("int")
+    by_node = (
+        rows.join(common, "h", "left")
+        .groupBy("node", "n")
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("_c", F.lit(0)), "h"))).alias("l"))
+    )
+    met = by_node.select("node", "n", F.explode(F.slice("l", F.lit(1), meet)).alias("l"))
+    met = written(met.select("node", "n", "l.h"), "meeting-hashes")
+
+    # First every text with one of its SimHash group and with one of each list.
+    similar = near_duplicates(docs, shingle=shingle, id_col=id_col, text_col=text_col)
+    grouped = similar.select(F.col("group_id").alias("g"), "_key").distinct()
+    grouped = grouped.join(table.select("_key", "node").distinct(), "_key").select("g", "node")
+    hubs = grouped.groupBy("g").agg(F.min("node").alias("a"))
+    stars = grouped.join(hubs, "g").select("a", F.col("node").alias("b"))
+    heads = met.groupBy("h").agg(F.min("node").alias("a"))
+    stars = stars.union(met.join(heads, "h").select("a", F.col("node").alias("b")))
+    stars = written(stars.where("a <> b").distinct(), "candidates")
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        keys = table.join(wanted, "node", "semi").groupBy("node").agg(F.min("_key").alias("k"))
+        keys = written(keys, "wanted")
+        bloom = docs.sparkSession.sparkContext.broadcast(bloom_filter(keys, "k", most_bits))
+
+        def whole(batches):
+            for batch in batches:
+                key = batch.column("_key").to_numpy(zero_copy_only=False)
+                chosen = batch.filter(pa.array(in_bloom(bloom.value, key.view(np.uint64))))
+                sets = [shingle_hashes(t, shingle) for t in chosen.column("_text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        chosen.column("_key"),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                    ],
+                    ["_key", "set"],
+                )
+
+        found = keyed.mapInArrow(whole, "_key long, set binary")
+        one = found.groupBy("_key").agg(F.first("set").alias("set"))
+        return written(one.join(keys, F.col("_key") == F.col("k")).select("node", "set"), "sets")
+
+    near = written(_verified(stars, sets_of(stars), least), "links")
+    roots = connected_components(near)
+    rooted = met.join(roots, "node", "left").select(
+        "node", "n", "h", F.coalesce("root", "node").alias("r")
+    )
+    rooted = written(rooted, "meeting-hashes")
+    left = rooted.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("r").alias("ra"), "h")
+    right = rooted.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("r").alias("rb"), F.col("h").alias("hb"))
+    small, large = F.least("na", "nb"), F.greatest("na", "nb")
+    apart = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (small >= least * large - 1e-9)
+    pairs = left.join(right, (F.col("h") == F.col("hb")) & apart).groupBy("a", "b", small.alias("_n")).count()
+    pairs = pairs.where((F.col("count") >= _SHARED) | (F.col("_n") < _LARGE)).select("a", "b")
+    pairs = written(pairs, "candidates")
+    near = near.union(_verified(pairs, sets_of(pairs), least))
+    roots = connected_components(near).withColumnRenamed("node", "_n")
+    return table.join(roots, F.col("node") == F.col("_n"), "left").select(
+        "doc_id", F.coalesce("root", "node").alias("group_id"), "_key"
+    )

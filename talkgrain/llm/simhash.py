@@ -152,16 +152,18 @@ def near_duplicates(
     )
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups_of=near_duplicates
+) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay when near copies go.
 
     Of each group the row with the smallest id stays, a null id being larger than any; of rows of
     one id the one whose text has the smallest hash, and of rows equal in both the least in all
-    their columns, which must be orderable.
+    their columns, which must be orderable. ``groups_of`` names the group of each document.
     """
     names = docs.columns
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    groups = groups_of(docs, id_col=id_col, text_col=text_col)
     chosen = groups.groupBy("group_id").agg(F.min(F.struct(order.alias("_id"), "_key")).alias("c"))
     keyed = docs.select(
         F.struct("*").alias("_row"),

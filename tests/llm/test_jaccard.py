@@ -1,0 +1,79 @@
+"""Near copies at a Jaccard similarity of 0.8 against all pairs."""
+
+from collections import defaultdict
+from itertools import combinations
+
+from brute import LOWER, words
+from conftest import ODD
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from talkgrain.llm.jaccard import alike_groups
+
+
+def shingles(text):
+    w = words((text or "").translate(LOWER))
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def brute_first(docs, least=0.8):
+    """The smallest id of each group; pairs by a full inverted index, so that none is left out."""
+    sets, parent, where = dict(docs), {i: i for i, _ in docs}, defaultdict(list)
+    sets = {i: shingles(t) for i, t in sets.items()}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, s in sets.items():
+        for x in s or [()]:
+            where[x].append(i)
+    for a, b in {p for ids in where.values() for p in combinations(sorted(set(ids)), 2)}:
+        both = len(sets[a] & sets[b])
+        if both >= least * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {root(i) for i in parent}
+
+
+def test_the_stage_keeps_one_of_each_group(spark, documents, texts):
+    kept = corpus_pipeline.one_of_near_copies(spark, documents, "").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(brute_first(texts))
+
+
+def test_copies_with_words_changed(spark):
+    """Texts of many lengths with 0 to 11 words changed, on both sides of 0.8."""
+    docs = []
+    for n in (6, 40, 79, 84, 85, 200, 600):
+        for k in range(12):
+            base = [f"t{n}-{k}-{i}" for i in range(n)]
+            changed = base.copy()
+            for j in range(k):
+                changed[(j * 5) % n] = f"new{j}-{k}"
+            at = len(docs)
+            docs += [(at, " ".join(base)), (at + 1, " ".join(changed).upper())]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = alike_groups(frame).collect()
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r["group_id"]].append(r["doc_id"])
+    assert len(rows) == len(docs)
+    assert {min(ids) for ids in groups.values()} == brute_first(docs)
+
+
+def test_a_common_line_does_not_hide_pairs(spark):
+    line = " ".join(f"line{i}" for i in range(60))
+    docs = []
+    for k in range(90):
+        own = [f"w{k}-{i}" for i in range(70)]
+        docs += [(2 * k, line + " " + " ".join(own)), (2 * k + 1, line + " " + " ".join(own[:-4]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r[0] for r in alike_groups(frame).groupBy("group_id").agg(F.min("doc_id")).select("min(doc_id)").collect()} == brute_first(docs)
+
+
+def test_groups_of_odd_rows(odd):
+    rows = alike_groups(odd).collect()
+    assert len(rows) == len(ODD)
+    assert len({r["group_id"] for r in rows if r["doc_id"] in (1, 2, 3)}) == 1
+    assert alike_groups(odd.limit(0)).collect() == []
