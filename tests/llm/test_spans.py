@@ -47,6 +47,16 @@ def test_added_kinds(spark):
     assert found[0]["spans"][0]["end"] == len(texts[0])
 
 
+def test_account_numbers_end_where_they_do(spark):
+    numbers = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947"]
+    after = [" BIC COBADEFF", " Please pay", " On Monday", " 20 EUR", " 1234 5678", ". And", ""]
+    texts = [f"pay {n}{a}" for n in numbers for a in after]
+    texts += ["pay GB82WEST12345698765432X", "pay DE89 3704 0044 0532 0130 01 BIC"]
+    rows = find_pii(frame(spark, texts)).orderBy("doc_id").collect()
+    got = [[(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "iban"] for r in rows]
+    assert got == [[(4, 4 + len(n))] for n in numbers for _ in after] + [[], []]
+
+
 def test_context_raises_the_score(spark):
     rows = find_pii(frame(spark, ["x 8.8.8.8", "server 8.8.8.8"])).orderBy("doc_id").collect()
     plain, near = (row["spans"][0]["score"] for row in rows)
