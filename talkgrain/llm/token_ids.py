@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import os
+import string
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +25,7 @@ from talkgrain.llm.simple8b import decode, encode
 # A segment is a row of the file: it ends with the document that brings its text to this length.
 SEGMENT_BYTES = 4 << 20
 # What a Python worker remembers of words it has encoded, before it starts anew.
-MOST_WORDS = 700_000
+MOST_WORDS = 1_200_000
 
 _PARTS = (
     ("part", "int"),
@@ -38,12 +42,20 @@ def _schema(id_type: str) -> str:
     return ", ".join(f"{n} {t}" for n, t in (*_PARTS, ("doc_ids", f"array<{id_type}>")))
 
 
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``starts``, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)]
+
+
 class WordEncoder:
-    """Encodes texts word by word, remembering words.
+    """Encodes texts by their distinct words, remembering words.
 
     A tokenizer that lower-cases, and to which white space is no more than a word boundary, gives
-    the same ids for a text and for its words one after the other. Words of letters before one
-    stop or comma are remembered without it.
+    the same ids for a text and for its words one after the other. Texts are cut, and their words
+    numbered, by Arrow kernels; only words not met before go to the library, and ids are then made
+    for all words of a segment by array look-ups. Letters and the marks behind them are remembered
+    apart, which such a tokenizer cuts anyway.
     """
 
     def __init__(self, model: str, special_as_text: bool, split_words: bool):
@@ -51,69 +63,118 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = special_as_text
         self.split_words = split_words
-        self.known: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {b"": b""}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, missing: list[bytes]) -> None:
-        letters, forms, others, new = self.letters, [], [], []
-        for word in missing:
-            end = word[-1:] if word[-1] in b".," else b""
-            body = word[: len(word) - len(end)]
-            if body in letters:
-                forms.append((word, body, end))
-            # Letters beyond ASCII may be composed or lower-cased with what is beside them.
-            elif body.isalpha() or body.decode().isalpha():
-                forms.append((word, body, end))
-                new.append(body)
+        # Which ids end a word, where the vocabulary marks them.
+        self.last: np.ndarray | None = None
+        suffix = json.loads(model)["model"].get("end_of_word_suffix")
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        if split_words:
+            self._forget()
+
+    def _forget(self) -> None:
+        self.known = {"": 0}
+        self.flat, self.starts, self.sizes = (np.zeros(n, t) for n, t in ((0, "u4"), (1, int), (1, int)))
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row and the number of each."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), "u4", int(sizes.sum())), sizes
+
+    def _learn(self, words: list[str]) -> None:
+        parts = [self.flat]
+        sizes = [self.sizes]
+
+        def add(chunk: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+            self.known.update(zip(chunk, range(len(self.known), len(self.known) + len(chunk))))
+            parts.append(ids)
+            sizes.append(counts)
+
+        letters = [w for w in words if w.isalpha()] if self.last is not None else []
+        others = [w for w in words if not w.isalpha()] if self.last is not None else words
+        for at in range(0, len(letters), 5_000):
+            chunk = letters[at : at + 5_000]
+            # Letters are one word to the tokenizer or more, so as many ends as words is one each.
+            ids, _ = self._encoded([" ".join(chunk)])
+            ends = np.flatnonzero(self.last[ids])
+            if len(ends) == len(chunk):
+                add(chunk, ids, np.diff(ends, prepend=-1))
             else:
-                others.append(word)
-        new = list(dict.fromkeys([*new, *(e for e in (b".", b",") if e not in letters)]))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            letters.update(zip(part, self._encoded([w.decode() for w in part])))
-        for word, body, end in forms:
-            self.known[word] = letters[body] + letters[end]
+                others += chunk
         for at in range(0, len(others), 20_000):
-            part = others[at : at + 20_000]
-            self.known.update(zip(part, self._encoded([w.decode() for w in part])))
+            chunk = others[at : at + 20_000]
+            add(chunk, *self._encoded(chunk))
+        self.flat, self.sizes = np.concatenate(parts), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        """By text, the ids as little-endian unsigned 32-bit integers, and then ``end``."""
-        if not self.split_words:
-            return [x + end for x in self._encoded([t.decode() for t in texts])]
-        # A to Z are lower-cased at once; where a special token could be spelt, by the tokenizer.
-        cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        if len(self.known) > MOST_WORDS:
-            self.known.clear()
-        if len(self.letters) > MOST_WORDS:
-            self.letters = {b"": b""}
-        known = self.known
-        missing = [w for w in set().union(*cut) if w not in known]
+    def _codes(self, words: pa.Array) -> np.ndarray:
+        coded = pc.dictionary_encode(words)
+        names = coded.dictionary.to_pylist()
+        missing = [w for w in names if w not in self.known]
         if missing:
             self._learn(missing)
-        get = known.__getitem__
-        return [b"".join(map(get, words)) + end for words in cut]
+        of = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        return of[coded.indices.to_numpy()]
+
+    def __call__(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each text's followed by ``end``, and the number of each."""
+        if not self.split_words:
+            ids, sizes = self._encoded([t.decode() for t in texts])
+            return np.insert(ids, np.cumsum(sizes), end), sizes + 1
+        if len(self.known) > MOST_WORDS:
+            self._forget()
+        whole = pa.array(texts, pa.large_binary()).cast(pa.large_string())
+        # A to Z are lower-cased at once; where a special token could be spelt, by the tokenizer.
+        lower = pc.if_else(pc.match_substring(whole, "<|"), whole, pc.ascii_lower(whole))
+        cut = pc.ascii_split_whitespace(lower)
+        coded = pc.dictionary_encode(pc.list_flatten(cut))
+        words = coded.dictionary
+        body = pc.utf8_rtrim(words, characters=string.punctuation)
+        # Letters beyond ASCII may be composed or lower-cased with what is beside them.
+        plain = pc.utf8_is_alpha(body)
+        codes = np.zeros((len(words) + 1, 2), np.int64)
+        codes[:-1, 0] = self._codes(pc.if_else(plain, body, words))
+        ended = pc.and_(plain, pc.not_equal(body, words))
+        pairs = zip(*(a.filter(ended).to_pylist() for a in (words, body)))
+        marks = pa.array([word[len(b) :] for word, b in pairs], pa.large_string())
+        codes[:-1, 1][ended.to_numpy(zero_copy_only=False)] = self._codes(marks)
+        sizes = self.sizes[codes]
+        table = _gather(self.flat, self.starts[codes.ravel()], sizes.ravel())
+        # The last word of the table stands for the end of a text.
+        sizes = sizes.sum(axis=1)
+        sizes[-1] = 1
+        table = np.append(table, np.uint32(end))
+        n_words = pc.list_value_length(cut).to_numpy()
+        places = np.insert(coded.indices.to_numpy(), np.cumsum(n_words), len(words))
+        of_place = sizes[places]
+        ids = _gather(table, (np.cumsum(sizes) - sizes)[places], of_place)
+        ends = np.cumsum(of_place)[np.cumsum(n_words + 1) - 1]
+        return ids, np.diff(ends, prepend=0)
 
 
-def _segments(batches, encoder: WordEncoder, end: bytes) -> Iterator[tuple[list, list[bytes]]]:
-    """Documents in order, by segments: their ids and their token ids."""
-    ids: list = []
+def segments(
+    batches: Iterator[pa.RecordBatch], encoder: WordEncoder, end: int, names: list[str]
+) -> Iterator[tuple[list[list], np.ndarray, np.ndarray]]:
+    """Documents in order, by segments: the columns ``names``, the token ids, the count of each.
+
+    A segment ends with the document that brings its ``_text`` to a bounded length.
+    """
+    rows: list[tuple] = []
     texts: list[bytes] = []
     size = 0
     for batch in batches:
-        for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()):
-            ids.append(i)
+        columns = zip(*(batch.column(c).to_pylist() for c in names))
+        for row, text in zip(columns, batch.column("_text").to_pylist()):
+            rows.append(row)
             texts.append(text or b"")
             size += len(texts[-1])
-            if size >= SEGMENT_BYTES or len(ids) >= 10_000:
-                yield ids, encoder(texts, end)
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, encoder(texts, end)
+            if size >= SEGMENT_BYTES or len(rows) >= 10_000:
+                yield list(map(list, zip(*rows))), *encoder(texts, end)
+                rows, texts, size = [], [], 0
+    if rows:
+        yield list(map(list, zip(*rows))), *encoder(texts, end)
 
 
 def write_token_ids(
@@ -142,7 +203,6 @@ def write_token_ids(
         model = spark.sparkContext.broadcast(file.read())
     # Python workers keep a broadcast value from task to task: here, what they remember.
     memory = spark.sparkContext.broadcast({})
-    end = np.array([end_id], "<u4").tobytes()
     id_type = docs.schema[id_col].dataType
     arrow_id = to_arrow_type(id_type)
 
@@ -151,17 +211,16 @@ def write_token_ids(
         if "encoder" not in held:
             held["encoder"] = WordEncoder(model.value, special_as_text, split_words)
         part, first = TaskContext.get().partitionId(), 0
-        for segment, (ids, coded) in enumerate(_segments(batches, held["encoder"], end)):
-            tokens = np.frombuffer(b"".join(coded), "<u4")
+        found = segments(batches, held["encoder"], end_id, ["doc_id"])
+        for segment, ((ids,), tokens, counts) in enumerate(found):
             words, offsets = encode(tokens)
-            counts = np.array([len(c) // 4 for c in coded], "<u4")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
                     pa.array([segment], pa.int32()),
                     pa.array([first], pa.int64()),
                     pa.array([len(tokens)], pa.int64()),
-                    pa.array([counts.tobytes()], pa.binary()),
+                    pa.array([counts.astype("<u4").tobytes()], pa.binary()),
                     pa.array([words.astype("<u8").tobytes()], pa.binary()),
                     pa.array([offsets.astype("<u4").tobytes()], pa.binary()),
                     pa.array([ids], pa.list_(arrow_id)),
