@@ -2,24 +2,40 @@
 
 from talkgrain.functions import ratio, word_count, words
 from talkgrain.operators import (
+    MeasureState,
+    changed_transcripts,
     compare_releases,
+    compare_utterances,
     for_corpora,
     for_speakers,
     growth_curve,
     growth_curve_by_transcript,
     lines_as_utterances,
+    match_transcripts,
+    measure_state,
     mlu_w,
+    moving_type_token_ratio,
+    numbered,
+    numbered_within,
     population,
     population_tokens,
     population_utterances,
+    running_total,
     stamp_release,
+    state_frequency,
+    state_mlu_w,
+    state_population,
+    state_type_token_ratio,
     tokenize,
     tokens,
+    transcript_digests,
     type_token_ratio,
     union_releases,
+    updated_state,
     with_corpus,
     word_frequency,
 )
+from talkgrain.plans import Collection, CollectionLayout, ingest_collection
 from talkgrain.sources import (
     JdbcSplit,
     TranscriptLayout,
@@ -40,21 +56,32 @@ from talkgrain.sources import (
 )
 
 __all__ = [
+    "Collection",
+    "CollectionLayout",
     "JdbcSplit",
+    "MeasureState",
     "TranscriptLayout",
     "broadcast_if_small",
+    "changed_transcripts",
     "compare_releases",
+    "compare_utterances",
     "for_corpora",
     "for_speakers",
     "growth_curve",
     "growth_curve_by_transcript",
+    "ingest_collection",
     "ingest_transcripts",
     "jdbc_tables",
     "lines_as_utterances",
     "load_manifest",
+    "match_transcripts",
+    "measure_state",
     "mirror_release",
     "mirror_store",
     "mlu_w",
+    "moving_type_token_ratio",
+    "numbered",
+    "numbered_within",
     "population",
     "population_tokens",
     "population_utterances",
@@ -64,12 +91,19 @@ __all__ = [
     "read_releases",
     "release_table",
     "resolve_release",
+    "running_total",
     "spread",
     "stamp_release",
+    "state_frequency",
+    "state_mlu_w",
+    "state_population",
+    "state_type_token_ratio",
     "tokenize",
     "tokens",
+    "transcript_digests",
     "type_token_ratio",
     "union_releases",
+    "updated_state",
     "with_corpus",
     "word_count",
     "word_frequency",

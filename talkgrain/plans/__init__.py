@@ -1,4 +1,13 @@
 from talkgrain.plans.analyses import derived_measures, frequency, population_properties
+from talkgrain.plans.collection import Collection, CollectionLayout, ingest_collection
 from talkgrain.plans.session import configured
 
-__all__ = ["configured", "derived_measures", "frequency", "population_properties"]
+__all__ = [
+    "Collection",
+    "CollectionLayout",
+    "configured",
+    "derived_measures",
+    "frequency",
+    "ingest_collection",
+    "population_properties",
+]

@@ -5,9 +5,10 @@ built in.
 """
 
 import re
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,17 +22,21 @@ class TranscriptLayout:
     others are fields of the utterance. ``order`` None numbers the array from 1. The text is
     either one field (``text``) or an array of word elements (``words``). Word elements that have
     attributes or annotation inside them are structs; ``word`` names the field with their text.
+    ``phonology`` is the field of the phonological transcription, where there is one. Ids are cast to
+    ``id_type``: STRING for transcripts that are named by a text.
     """
 
     row_tag: str
     schema: T.StructType
-    transcript_id: str
+    transcript_id: str | None
     speaker: str
     text: str | None = None
     words: str | None = None
     order: str | None = None
     utterances: str | None = None
     word: str | None = None
+    phonology: str | None = None
+    id_type: str = "long"
 
     def __post_init__(self):
         if (self.text is None) == (self.words is None):
@@ -45,8 +50,8 @@ def ingest_transcripts(
 ) -> DataFrame:
     """The utterances of the transcript files under ``path``.
 
-    Gives ``transcript_id``, ``utterance_order``, ``speaker`` and ``text``, and with word elements
-    also ``words``, the elements as they are, whose text is joined with spaces. ``tokens`` and
+    Gives ``transcript_id``, ``utterance_order``, ``speaker``, ``text``, ``phonology`` if the layout names
+    it, and with word elements also ``words``, the elements as they are, whose text is joined with spaces. ``tokens`` and
     the measures take the words from there and cut no text. A file that does not parse stops the
     run instead of leaving rows of NULLs, and so does markup inside a word that is read as text.
 
@@ -57,26 +62,36 @@ def ingest_transcripts(
     comment or CDATA section reaches over a closing tag. It reads the files once more before,
     to count the openings and closings of each.
     """
-    rows = _split_scan(spark, path, layout) if split_files else _scan(spark, path, layout)
+    if layout.transcript_id is None:
+        raise ValueError("name the field of the transcript; its file is used by ingest_collection only")
+    rows = _split_scan(spark, path, layout) if split_files else scan(spark, path, layout)
+    own = {"transcript_id": F.col(layout.transcript_id).cast(layout.id_type)}
     if layout.utterances is None:
-        parts = rows
-        field = F.col
-        position = None
-    else:
-        parts = rows.select(
-            F.col(layout.transcript_id),
-            F.posexplode(layout.utterances).alias("position", "utterance"),
-        )
-        field = F.col("utterance").getField
-        position = F.col("position") + 1
+        return utterance_columns(rows, layout, F.col, None, own)
+    parts = rows.select(
+        F.col(layout.transcript_id), F.posexplode(layout.utterances).alias("position", "utterance")
+    )
+    field = F.col("utterance").getField
+    return utterance_columns(parts, layout, field, F.col("position") + 1, own)
+
+
+def utterance_columns(
+    parts: DataFrame,
+    layout: TranscriptLayout,
+    field: Callable[[str], Column],
+    position: Column | None,
+    own: Mapping[str, Column],
+) -> DataFrame:
+    """The columns ``own`` and those of an utterance, whose fields ``field`` gives by their name."""
     order = field(layout.order) if layout.order else position
     columns = [
-        F.col(layout.transcript_id).cast("long").alias("transcript_id"),
+        *(column.alias(name) for name, column in own.items()),
         order.cast("long").alias("utterance_order"),
         field(layout.speaker).alias("speaker"),
     ]
+    phonology = [field(layout.phonology).alias("phonology")] if layout.phonology else []
     if layout.text is not None:
-        return parts.select(*columns, field(layout.text).alias("text"))
+        return parts.select(*columns, field(layout.text).alias("text"), *phonology)
     words = field(layout.words)
     if layout.word is not None:
         words = words.getField(layout.word)
@@ -84,16 +99,17 @@ def ingest_transcripts(
     words = F.coalesce(F.array_compact(words), F.array().cast("array<string>"))
     text = F.array_join("words", " ")
     nested = F.raise_error(F.lit("a word holds markup: read it as a struct and name its text field"))
-    return parts.select(*columns, words.alias("words")).select(
-        "transcript_id",
+    return parts.select(*columns, words.alias("words"), *phonology).select(
+        *own,
         "utterance_order",
         "speaker",
         F.when(text.rlike(r"</[^>]+>|/>"), nested).otherwise(text).alias("text"),
+        *(["phonology"] if phonology else []),
         "words",
     )
 
 
-def _scan(spark: SparkSession, path: str, layout: TranscriptLayout) -> DataFrame:
+def scan(spark: SparkSession, path: str, layout: TranscriptLayout) -> DataFrame:
     return (
         spark.read.schema(layout.schema)
         .format("xml")
