@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkgrain.llm.decontaminate import contaminated, contamination_digest
+from talkgrain.llm.interactions import audit_filters
 from talkgrain.llm.kneser_ney import judge_perplexity
 from talkgrain.llm.language import identify_languages
+from talkgrain.llm.mixture import pack_mixture
 from talkgrain.llm.packing import pack
 from talkgrain.llm.pii import find_pii, pii_digest
 from talkgrain.llm.quality import judge_quality
+from talkgrain.llm.resample import resample
 from talkgrain.llm.secrets import find_secrets, secrets_digest
 from talkgrain.llm.simhash import near_duplicates
 from talkgrain.llm.substrings import dedup_substrings
@@ -87,6 +90,21 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_documents(spark, sf_dir)).drop("kept_text")
 
 
+def op11_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack_mixture(_documents(spark, sf_dir), tokenizer, end_id=1)
+
+
+def op12_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -99,6 +117,9 @@ def queries() -> dict[str, Query]:
         "op8_token_ids": op8_token_ids,
         "op9_quality_model": op9_quality_model,
         "op10_substrings": op10_substrings,
+        "op11_mixture": op11_mixture,
+        "op12_interactions": op12_interactions,
+        "op13_resample": op13_resample,
     }
 
 
@@ -161,7 +182,56 @@ FROM cut LEFT JOIN n_hits ON cut.id = n_hits.doc_id LEFT JOIN found ON cut.id =
 WHERE side = 'd'"""
 
 
+_INTERACTIONS = r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, list_filter(
+        regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+judged AS (
+    SELECT part, doc_id,
+        CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text)
+           THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 'E' ELSE '' END AS failed
+    FROM cut),
+marks AS (
+    SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+combos AS (
+    SELECT part, failed, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           count(*) AS n
+    FROM judged LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+    SELECT filter_order, k::int AS step, filter_order[k] AS own, filter_order[1:k - 1] AS before
+    FROM orders, range(1, 6) AS t(k)),
+each AS (
+    SELECT *, contains(failed, own) AS fails,
+           before = '' OR NOT regexp_matches(failed, '[' || before || ' ]') AS came
+    FROM combos, steps),
+counted AS (
+    SELECT part, filter_order, step, own,
+           coalesce(sum(n) FILTER (NOT fails AND came), 0)::bigint AS kept,
+           coalesce(sum(n) FILTER (fails AND came), 0)::bigint AS removed,
+           coalesce(sum(n) FILTER (fails AND NOT came), 0)::bigint AS redundant,
+           coalesce(sum(n) FILTER (failed = own), 0)::bigint AS unique_fails,
+           coalesce(sum(n) FILTER (fails AND came AND good), 0)::bigint AS good_lost,
+           coalesce(sum(n) FILTER (fails AND came AND toxic), 0)::bigint AS toxic_lost
+    FROM each GROUP BY ALL)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::bigint AS shapley
+FROM counted"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Fingerprints, fitted models, tokenizers and guarded patterns are not expressed in SQL;
     those queries are tested against plain versions."""
-    return {"op4_decontamination": _CONTAMINATED, "op10_substrings": _SUBSTRINGS}
+    return {
+        "op4_decontamination": _CONTAMINATED,
+        "op10_substrings": _SUBSTRINGS,
+        "op12_interactions": _INTERACTIONS,
+    }

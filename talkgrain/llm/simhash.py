@@ -83,8 +83,10 @@ def _raised(half: Column) -> Column:
     return F.array_compact(F.array(*cells))
 
 
-def fingerprint_links(fps: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of distinct fingerprints (column ``_fp``) that differ in 1 to 3 bits.
+def fingerprint_links(fps: DataFrame, most_bits: int = 3) -> DataFrame:
+    """Pairs ``a``, ``b`` of distinct fingerprints (column ``_fp``) that differ in ``most_bits`` or fewer.
+
+    ``most_bits`` is 3 at most, for which the grid is made.
 
     A range join on a grid: the segment counts of a pair differ by 3 in sum at most, so in one
     half of the segments by 1 at most. A fingerprint is put in the cell of each half and asks in
@@ -92,6 +94,8 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     the join the Manhattan distance of all counts is the lower bound that is tested first, then
     the exact distance. Only the links come out of it.
     """
+    if not 0 <= most_bits <= 3:
+        raise ValueError("most_bits is 0 to 3")
     counted = fps.select("_fp").distinct().select("_fp", segment_counts(F.col("_fp")).alias("_c"))
     halves = F.array(
         F.col("_c").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(F.col("_c"), 32)
@@ -111,8 +115,8 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
         F.explode(F.concat(F.array("_half"), _raised(F.col("_half")))).alias("_cell"),
     )
     near = (
-        (F.bit_count(F.col("_ca").bitwiseXOR(F.col("_cb"))) <= 3)
-        & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 3)
+        (F.bit_count(F.col("_ca").bitwiseXOR(F.col("_cb"))) <= most_bits)
+        & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most_bits)
         & ((F.col("_own") != F.col("_cell")) | (F.col("a") < F.col("b")))
     )
     same_cell = (F.col("_side") == F.col("_in")) & (F.col("_cell") == F.col("_at"))
@@ -125,19 +129,21 @@ def near_duplicates(
     seed: int = 42,
     id_col: str = "doc_id",
     text_col: str = "text",
+    most_bits: int = 3,
 ) -> DataFrame:
     """Each document with its fingerprint and the smallest id of its group of near copies.
 
     Returns ``doc_id``, ``fingerprint`` (16 hexadecimal digits), ``component_id``, ``group_id`` (a
     name of the group that is never null) and ``_key`` (hash of the text), a row per row of
-    ``docs``. Documents are linked if their fingerprints differ in 3 bits or fewer; groups are what
-    links reach. A text without words (null, empty, blank) has the fingerprint zero and is linked
+    ``docs``. Documents are linked if their fingerprints differ in ``most_bits`` or fewer (3 at most);
+    groups are what links reach. A long text is fingerprinted whole, and texts of one fingerprint are
+    tied. A text without words (null, empty, blank) has the fingerprint zero and is linked
     like any other. Copies share a fingerprint and are one node of the graph. A null id is never
     the smallest; a group of null ids only has a null ``component_id``. Other columns are not read.
     """
     table = written(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
     nodes = table.groupBy("_fp").agg(F.min("doc_id").alias("_least"))
-    roots = connected_components(fingerprint_links(nodes))
+    roots = connected_components(fingerprint_links(nodes, most_bits))
     rooted = nodes.join(roots, F.col("_fp") == F.col("node"), "left").select(
         "_fp", "_least", F.coalesce("root", "_fp").alias("group_id")
     )
@@ -153,17 +159,21 @@ def near_duplicates(
 
 
 def one_of_each_group(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups_of=near_duplicates
+    docs: DataFrame,
+    shingle: int = 3,
+    most_bits: int = 3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay when near copies go.
 
-    Of each group the row with the smallest id stays, a null id being larger than any; of rows of
-    one id the one whose text has the smallest hash, and of rows equal in both the least in all
-    their columns, which must be orderable. ``groups_of`` names the group of each document.
+    Of each group of ``near_duplicates`` the row with the smallest id stays, a null id being larger
+    than any; of rows of one id the one whose text has the smallest hash, and of rows equal in both
+    the least in all their columns, which must be orderable.
     """
     names = docs.columns
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
-    groups = groups_of(docs, id_col=id_col, text_col=text_col)
+    groups = near_duplicates(docs, shingle, id_col=id_col, text_col=text_col, most_bits=most_bits)
     chosen = groups.groupBy("group_id").agg(F.min(F.struct(order.alias("_id"), "_key")).alias("c"))
     keyed = docs.select(
         F.struct("*").alias("_row"),
