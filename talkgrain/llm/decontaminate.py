@@ -91,8 +91,8 @@ def contaminated(
     the exact words, without the text.
 
     A null or empty text has no words and no hits; null or empty items never occur, a null item id
-    counts as none. Rows that share an id are judged each by its own text. Other columns are not
-    read.
+    counts as none. A long text is searched whole. Rows that share an id are judged each by its own
+    text. Other columns are not read.
     """
     windows = written(item_windows(benchmark, length, item_col, item_text_col), "windows")
     distinct = windows.select("window").distinct().withColumn("_w", F.xxhash64("window"))

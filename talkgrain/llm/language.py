@@ -83,6 +83,17 @@ class LanguageFilter:
         filled = [self._bit(self.slices, i).mean() for i in range(len(languages))]
         self.false = np.array(filled) ** probes
 
+    @classmethod
+    def of(cls, parts: tuple) -> LanguageFilter:
+        """The filter of ``parts``."""
+        model = cls.__new__(cls)
+        model.languages, model.bits, model.probes, model.slices, model.false = parts
+        return model
+
+    def parts(self) -> tuple:
+        """Plain values, which executors can read without this package."""
+        return self.languages, self.bits, self.probes, self.slices, self.false
+
     def _places(self, hashes: np.ndarray) -> Iterator[np.ndarray]:
         last = np.uint64(self.bits - 1)
         for i in range(self.probes):
@@ -187,12 +198,12 @@ def predict_languages(
     of all languages. A null text, one without letters, or no model: ``und``, 0.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model and model.parts())
     others = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
 
     def rows(batches):
         letters = _is_letter()
-        model = shared.value
+        model = shared.value and LanguageFilter.of(shared.value)
         for batch in batches:
             texts = batch.column("_predict_from").to_pylist()
             names, scores = [], []
@@ -235,7 +246,8 @@ def identify_languages(
 
     Returns ``doc_id``, ``held_out``, ``lang_pred``, ``score``. The fold of a row is the CRC-32 of
     its id as text, modulo ``folds``; rows without an id are never held out. Only the text of a row
-    goes into its prediction. Null languages teach nothing. Other columns are not read.
+    goes into its prediction, a long one whole. Null languages teach nothing, and rows that share an
+    id or a text are predicted each. Other columns are not read.
     """
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
     out = F.coalesce(fold == held_out, F.lit(False))

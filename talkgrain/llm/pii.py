@@ -134,7 +134,8 @@ def find_pii(
     then by start. Kinds of the base (e-mail, IP address, card, phone) keep every valid match;
     the others (account number, social security number, phone without country code) only those
     whose score, raised by context words up to 40 code points away, reaches ``threshold``, and that
-    overlap no base span. A null or empty text has no spans. Other columns are not read.
+    overlap no base span. A null or empty text has no spans, a long one is searched whole, and rows
+    that share an id or a text have what their text has. Other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = [_found(text, kind, threshold) for kind in KINDS if kind.base]

@@ -249,7 +249,8 @@ def judge_quality(
     Returns ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``base_failed``, ``kept``, ``posterior`` and ``votes`` (array of -1, 0, 1).
     ``kept`` is whether the posterior reaches ``threshold`` and the base has not failed. A null or
-    empty text has zero words and fails the base. Rows that share an id or a text are judged each.
+    empty text has zero words and fails the base; a long text is counted whole. Rows that share an id
+    or a text are judged each.
     Other columns are not read.
     """
     found = docs.select(F.col(id_col).alias("doc_id"), text_features(F.col(text_col)).alias("x"))

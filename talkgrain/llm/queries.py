@@ -66,8 +66,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir)).drop("group_id", "_key")
 
 
-def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = shared_folder(spark, "secret-ledger")
+def op7_secrets(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """``ledger`` is a lasting folder: what it holds from earlier runs is not scanned again."""
+    ledger = ledger or shared_folder(spark, "secret-ledger")
     return secrets_digest(find_secrets(_documents(spark, sf_dir), ledger))
 
 
@@ -83,7 +84,7 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels")
     trusted = labels.where("quality = 1 AND toxic = 0")
-    return judge_perplexity(_documents(spark, sf_dir), trusted)
+    return judge_perplexity(_documents(spark, sf_dir), trusted, labels.where("toxic = 1"))
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,9 @@ def scan_unseen(
     by the SHA-256 of its content. ``ledger`` is the folder of a Parquet table with one row for
     each blob, rule and rule version scanned so far, made if absent. Pairs of blob and rule version
     that are in it are not scanned again. Blobs are made distinct by a grouped first value, folded
-    in the scan tasks, so a content that a third of all files share is one row a task.
+    in the scan tasks, so a content that a third of all files share is one row a task. One run at a
+    time should add to a ledger: two would scan the same pairs and both write them, which changes no
+    finding, for findings are sets.
     """
     spark = versions.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -134,7 +136,8 @@ def find_secrets(
 
     Returns ``doc_id``, ``blob`` and ``spans``, an array of (start, order of the rule, rule, end)
     by start, then by rule. Findings are made per blob by ``scan_unseen`` and joined back to all
-    documents that hold it. A null text counts as empty and has none. Other columns are not read.
+    documents that hold it. A null text counts as empty and has none, a long one is scanned whole, and
+    rows that share an id or a text have what their text has. Other columns are not read.
     """
     order = F.create_map(*(F.lit(x) for i, r in enumerate(rules) for x in (r.name, i)))
     current = [(F.col("rule") == r.name) & (F.col("version") == r.version) for r in rules]

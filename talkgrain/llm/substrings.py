@@ -198,7 +198,8 @@ def dedup_substrings(
     Returns ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text`` (kept words
     joined by one space), a row per row of ``docs``. Windows are judged on the input. A null or
     empty text has no words and keeps the empty text; rows that share an id are judged each by its
-    own text, against smaller ids only; a null id is larger than all. Other columns are not read.
+    own text, against smaller ids only; a null id is larger than all. Long texts are windowed whole.
+    Other columns are not read.
     """
     removed = (
         repeated_windows(docs, length, base, id_col, text_col, most_bits)

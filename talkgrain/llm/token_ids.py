@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 
 from talkgrain.llm.common import text_key
 from talkgrain.llm.simple8b import decode, encode
+from talkgrain.sources.scans import broadcast_if_small
 
 # A segment is a row of the file: it ends with the document that brings its text to this length.
 SEGMENT_BYTES = 4 << 20
@@ -283,7 +284,7 @@ def _documents(spark, folder, id_type, name, kind, digest) -> DataFrame:
     decoded = table.mapInArrow(
         rows, f"part int, doc_id {id_type}, start long, n_tokens long, {name} {kind}"
     )
-    placed = decoded.join(F.broadcast(bases), F.col("part") == F.col("_p"))
+    placed = decoded.join(broadcast_if_small(bases), F.col("part") == F.col("_p"))
     return placed.select(
         "doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", name
     )

@@ -251,13 +251,33 @@ def test_model_is_modified_kneser_ney(spark):
     assert abs(sum(p("a", "b", c) for c in words) - 1) < 1e-9
 
 
-def test_junk_has_high_perplexity(spark, documents):
+def held_out(labels):
+    """Labelled documents that no model has seen: those whose id has an odd hash."""
+    return labels.where(F.xxhash64("doc_id") % 2 != 0)
+
+
+def test_junk_and_toxic_texts_go(spark):
+    folder = "/root/testdata/sf0.1"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = judge_perplexity(documents, labels.where("quality = 1 AND toxic = 0"), labels.where("toxic = 1"))
+    of = held_out(labels).join(judged, "doc_id").groupBy("quality", "toxic")
+    kept = {(r["quality"], r["toxic"]): r["kept"] for r in of.agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept[1, 0] >= 0.98
+    assert kept[1, 1] <= 0.3
+    assert kept[0, 0] <= 0.5
+
+
+def test_sharded_joins_give_the_same_scores(spark, documents, rows_of):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
-    trusted = labels.where("quality = 1 AND toxic = 0")
-    judged = judge_perplexity(documents, trusted).join(labels, "doc_id")
-    shares = {r["quality"]: r["kept"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
-    assert shares[1] > 0.95
-    assert shares[0] < 0.5
+    docs = documents.where("doc_id < 300").unionByName(documents.where("doc_id < 20"))
+    arguments = (docs, labels.where("quality = 1 AND toxic = 0"), labels.where("toxic = 1"))
+    first = rows_of(judge_perplexity(*arguments))
+    second = rows_of(judge_perplexity(*arguments, most_broadcast=0, most_bits=1 << 12))
+    assert len(first) == len(second) == 320
+    for a, b in zip(first, second):
+        assert a[:3] == b[:3] and a[-1] == b[-1]
+        assert np.allclose([x or 0 for x in a[3:7]], [x or 0 for x in b[3:7]], rtol=1e-4)
 
 
 def test_perplexity_of_odd_rows(spark, odd):
@@ -269,3 +289,6 @@ def test_perplexity_of_odd_rows(spark, odd):
     assert judge_perplexity(docs.limit(0), trusted).collect() == []
     nothing = judge_perplexity(docs, trusted.limit(0)).collect()
     assert len(nothing) == len(ODD)
+    joined = judge_perplexity(docs, trusted, trusted, most_broadcast=0).collect()
+    assert len(joined) == len(ODD)
+    assert judge_perplexity(docs.limit(0), trusted, trusted, most_broadcast=0).collect() == []

@@ -21,7 +21,9 @@ COLUMNS = {
     "op6_simhash": ["doc_id", "fingerprint", "component_id"],
     "op7_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op8_token_ids": ["doc_id", "start", "n_tokens", "ids_crc32"],
-    "op9_quality_model": ["doc_id", "lang", "n_tokens", "perplexity", "threshold", "kept"],
+    "op9_quality_model": [
+        "doc_id", "lang", "n_tokens", "perplexity", "threshold", "alarm", "alarm_threshold", "kept",
+    ],
     "op10_substrings": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op11_mixture": [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",

@@ -1,5 +1,7 @@
 """Personal data and secrets against plain regular expressions."""
 
+from dataclasses import replace
+
 import pytest
 from brute import pii as brute_pii
 from brute import secrets as brute_secrets
@@ -105,3 +107,27 @@ def test_redaction(spark, tmp_path):
     rows = docs.join(found, "doc_id").orderBy("doc_id")
     got = [r[0] for r in rows.select(redacted(docs.text, found.spans)).collect()]
     assert got == ["", None, "clean", "[secret]", "a [secret] b [secret]", '[secret]" end']
+
+
+def test_the_query_scans_only_what_its_ledger_lacks(spark, rows_of, tmp_path, monkeypatch):
+    """A second run adds no row to a lasting ledger; a rule of a new version is scanned alone."""
+    from talkgrain.llm import queries, secrets
+
+    folder = "/root/testdata/sf0.001"
+    ledger = str(tmp_path / "ledger")
+
+    def rows():
+        return spark.read.schema(secrets.LEDGER).parquet(ledger)
+
+    first = rows_of(queries.op7_secrets(spark, folder, ledger))
+    blobs = spark.read.parquet(f"{folder}/documents.parquet").select("text").distinct().count()
+    assert rows().count() == blobs * len(secrets.RULES)
+    assert rows_of(queries.op7_secrets(spark, folder, ledger)) == first
+    assert rows().count() == blobs * len(secrets.RULES)
+    raised = tuple(replace(r, version=2) if r.name == "hex" else r for r in secrets.RULES)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    again = secrets.secrets_digest(secrets.find_secrets(docs, ledger, rules=raised), raised)
+    assert rows_of(again) == first
+    added = rows().where("version = 2")
+    assert added.count() == blobs and rows().count() == blobs * (len(secrets.RULES) + 1)
+    assert {r[0] for r in added.select("rule").distinct().collect()} == {"hex"}
