@@ -361,6 +361,70 @@ def _compare_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tg.compare_utterances(old, new.drop("n"))
 
 
+def _mirror_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Utterances copied by ranges of their transcript, and read from the copy."""
+    base = _release_store(spark, sf_dir)
+
+    def write(out: str) -> None:
+        def source(low: int | None, high: int | None) -> DataFrame:
+            rows, key = tg.read_release(spark, base, "utterances"), F.col("transcript_id")
+            rows = rows.where(key >= low) if low is not None else rows
+            # The range without a start holds the rows without a key.
+            inside = key.isNull() | (key < high) if low is None and high is not None else key < high
+            return rows.where(inside) if high is not None else rows
+
+        tg.mirror_ranges(spark, source, "utterances", "2020.1", [100, 500, 700], out)
+        tg.write_manifest(spark, f"{out}/manifest.json", ["2020.1"], "2020.1")
+
+    return tg.read_release(spark, _once(spark, sf_dir, "mirror-ranges", write), "utterances")
+
+
+def _differing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy with one text changed, one row lost and another repeated in its place."""
+    rows = _documents(spark, sf_dir).select("doc_id", "text", "source")
+    key = F.col("doc_id")
+    copy = rows.where(key != 250).withColumn("text", F.when(key == 30, "x").otherwise(F.col("text")))
+    return tg.differing_ranges(rows, copy.unionByName(rows.where(key == 270)), "doc_id", 100)
+
+
+def _union_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three releases whose ids are LONG, DECIMAL and INT, and whose last column changed to text."""
+    transcripts = _documents(spark, sf_dir).select("doc_id", "lang", "n_chars")
+    number = F.col("doc_id")
+    releases = [
+        transcripts.where("lang = 'en'"),
+        transcripts.where("lang <> 'fr'").withColumn("doc_id", number.cast("decimal(12,0)")),
+        transcripts.withColumns(
+            {"doc_id": number.cast("int"), "n_chars": F.concat("n_chars", F.lit(" characters"))}
+        ),
+    ]
+    stacked = tg.union_releases(releases, widen=True)
+    # Decimals are shown as text, for the comparison with SQL.
+    return stacked.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def _sql(query: str) -> Query:
+    """A query in SQL over the releases."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = _release_store(spark, sf_dir)
+        tg.register_sql(spark, base, "talk_")
+        return spark.sql(query)
+
+    return run
+
+
+def _estimated_ttr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the estimate from stored sketches is within 5 % of the exact ratio, by speaker."""
+    lines = _spread_lines(spark, sf_dir)
+    sketches = tg.type_sketches(lines)
+    estimated = tg.estimated_type_token_ratio(sketches).withColumnRenamed("ttr", "estimate")
+    exact = tg.type_token_ratio(lines).select(F.col("speaker").alias("s"), "ttr")
+    joined = estimated.join(exact, F.col("speaker").eqNullSafe(F.col("s")))
+    near = F.abs(F.col("estimate") / F.col("ttr") - 1) <= 0.05
+    return joined.select("speaker", "n_tokens", near.alias("is_near"))
+
+
 _STATE_BY = ("corpus", "speaker")
 _DIGESTS = "transcript_id long, n_rows long, content string"
 _SIZES = "corpus string, speaker string, n_all long, n_utterances long, n_tokens long"
@@ -508,6 +572,18 @@ def _own_queries() -> dict[str, Query]:
         "mlu_w_delta": lambda s, d: tg.state_mlu_w(_updated_state(s, d)),
         "type_token_ratio_delta": lambda s, d: tg.state_type_token_ratio(_updated_state(s, d)),
         "population_delta": lambda s, d: tg.state_population(_updated_state(s, d)),
+        # Copies that are proven, and releases whose types changed.
+        "mirror_ranges": _mirror_ranges,
+        "differing_ranges": _differing_ranges,
+        "union_releases_widened": _union_widened,
+        # The measures in SQL.
+        "sql_word_frequency": _sql("SELECT * FROM talk_word_frequency('2019.1', array('de', 'en'))"),
+        "sql_mlu_w": _sql("SELECT * FROM talk_mlu_w()"),
+        "sql_type_token_ratio": _sql("SELECT * FROM talk_type_token_ratio(version => '2018.1')"),
+        "sql_population": _sql(
+            "SELECT * FROM talk_population(corpora => array('src0', 'src7')) WHERE n_tokens > 100"
+        ),
+        "estimated_type_token_ratio": _estimated_ttr,
         # Lexical diversity in windows of equal length.
         "moving_type_token_ratio": lambda s, d: tg.moving_type_token_ratio(
             _spread_lines(s, d), window=50
@@ -888,6 +964,34 @@ def _own_oracle_sql() -> dict[str, str]:
             SELECT corpus, speaker, count(*) AS n_utterances,
                    sum(coalesce(len({_WORDS}), 0))::bigint AS n_tokens
             FROM newer GROUP BY corpus, speaker""",
+        "mirror_ranges": current,
+        "differing_ranges": """
+            SELECT 0::bigint AS low, 100::bigint AS high,
+                   count(*) FILTER (doc_id < 100) AS n_first,
+                   count(*) FILTER (doc_id < 100) AS n_second
+            FROM documents
+            UNION ALL
+            SELECT 200, 300, count(*), count(*) FROM documents WHERE doc_id BETWEEN 200 AND 299""",
+        "union_releases_widened": """
+            SELECT doc_id::varchar AS doc_id, lang, n_chars::varchar AS n_chars
+            FROM documents WHERE lang = 'en'
+            UNION ALL
+            SELECT doc_id::varchar, lang, n_chars::varchar FROM documents WHERE lang <> 'fr'
+            UNION ALL
+            SELECT doc_id::varchar, lang, n_chars || ' characters' FROM documents""",
+        "sql_word_frequency": f"""SELECT *, '2019.1' AS release FROM (
+            {_sql_frequency(_LINES, "lines", "speaker")}) WHERE speaker IN ('de', 'en')""",
+        "sql_mlu_w": _sql_mlu(_LINES, "lines", "speaker", ", '2020.1' AS release"),
+        "sql_type_token_ratio": f"""SELECT *, '2018.1' AS release FROM (
+            {_sql_ttr(_LINES, "lines", "speaker")}) WHERE speaker = 'en'""",
+        "sql_population": f"""WITH {_LINES}
+            SELECT corpus, speaker, count(*) AS n_utterances,
+                   sum(coalesce(len({_WORDS}), 0))::bigint AS n_tokens, '2020.1' AS release
+            FROM lines WHERE corpus IN ('src0', 'src7') GROUP BY corpus, speaker
+            HAVING sum(coalesce(len({_WORDS}), 0)) > 100""",
+        "estimated_type_token_ratio": f"""WITH {_LINES}
+            SELECT speaker, sum(coalesce(len({_WORDS}), 0))::bigint AS n_tokens, true AS is_near
+            FROM lines GROUP BY speaker""",
         "moving_type_token_ratio": _sql_moving_ttr("speaker", 50),
         "moving_type_token_ratio_by_corpus": _sql_moving_ttr("corpus, speaker", 20),
         "analysis_frequency": f"""WITH {_LINES}, cut AS (

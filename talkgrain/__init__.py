@@ -4,8 +4,10 @@ from talkgrain.functions import ratio, word_count, words
 from talkgrain.operators import (
     MeasureState,
     changed_transcripts,
+    common_type,
     compare_releases,
     compare_utterances,
+    estimated_type_token_ratio,
     for_corpora,
     for_speakers,
     growth_curve,
@@ -29,22 +31,26 @@ from talkgrain.operators import (
     tokenize,
     tokens,
     transcript_digests,
+    type_sketches,
     type_token_ratio,
     union_releases,
     updated_state,
     with_corpus,
     word_frequency,
 )
-from talkgrain.plans import Collection, CollectionLayout, ingest_collection
+from talkgrain.plans import Collection, CollectionLayout, ingest_collection, register_sql
 from talkgrain.sources import (
     JdbcSplit,
     TranscriptLayout,
     broadcast_if_small,
+    differing_ranges,
     ingest_transcripts,
     jdbc_tables,
     load_manifest,
+    mirror_ranges,
     mirror_release,
     mirror_store,
+    multiset_digest,
     read_release,
     read_release_jdbc,
     read_releases,
@@ -63,8 +69,11 @@ __all__ = [
     "TranscriptLayout",
     "broadcast_if_small",
     "changed_transcripts",
+    "common_type",
     "compare_releases",
     "compare_utterances",
+    "differing_ranges",
+    "estimated_type_token_ratio",
     "for_corpora",
     "for_speakers",
     "growth_curve",
@@ -76,10 +85,12 @@ __all__ = [
     "load_manifest",
     "match_transcripts",
     "measure_state",
+    "mirror_ranges",
     "mirror_release",
     "mirror_store",
     "mlu_w",
     "moving_type_token_ratio",
+    "multiset_digest",
     "numbered",
     "numbered_within",
     "population",
@@ -89,6 +100,7 @@ __all__ = [
     "read_release",
     "read_release_jdbc",
     "read_releases",
+    "register_sql",
     "release_table",
     "resolve_release",
     "running_total",
@@ -101,6 +113,7 @@ __all__ = [
     "tokenize",
     "tokens",
     "transcript_digests",
+    "type_sketches",
     "type_token_ratio",
     "union_releases",
     "updated_state",

@@ -1,6 +1,10 @@
 from talkgrain.operators.alignment import compare_utterances
 from talkgrain.operators.compare import compare_releases
-from talkgrain.operators.diversity import moving_type_token_ratio
+from talkgrain.operators.diversity import (
+    estimated_type_token_ratio,
+    moving_type_token_ratio,
+    type_sketches,
+)
 from talkgrain.operators.filters import for_corpora, for_speakers
 from talkgrain.operators.increments import (
     MeasureState,
@@ -26,13 +30,15 @@ from talkgrain.operators.measures import (
 )
 from talkgrain.operators.numbering import numbered, numbered_within, running_total
 from talkgrain.operators.utterances import lines_as_utterances, tokenize, tokens, with_corpus
-from talkgrain.operators.versions import stamp_release, union_releases
+from talkgrain.operators.versions import common_type, stamp_release, union_releases
 
 __all__ = [
     "MeasureState",
     "changed_transcripts",
+    "common_type",
     "compare_releases",
     "compare_utterances",
+    "estimated_type_token_ratio",
     "for_corpora",
     "for_speakers",
     "growth_curve",
@@ -56,6 +62,7 @@ __all__ = [
     "tokenize",
     "tokens",
     "transcript_digests",
+    "type_sketches",
     "type_token_ratio",
     "union_releases",
     "updated_state",

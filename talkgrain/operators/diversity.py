@@ -1,11 +1,11 @@
-"""Lexical diversity that does not depend on how much was said."""
+"""Lexical diversity beyond the pooled type-token ratio."""
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkgrain.functions.text import array_length, ratio, words
+from talkgrain.functions.text import array_length, plain, ratio, runs, words
 from talkgrain.operators.numbering import alike, running_total
 
 
@@ -62,3 +62,35 @@ def moving_type_token_ratio(
     return joined.select(
         *by, "n_tokens", "n_windows", ratio(F.col("types"), window * F.col("n_windows")).alias("mttr")
     )
+
+
+def type_sketches(
+    utterances: DataFrame, by: Sequence[str] = ("transcript_id", "speaker"), precision: int = 12
+) -> DataFrame:
+    """What a type-token ratio of any coarser grouping can be estimated from without the text.
+
+    Returns the group, ``n_tokens`` and ``types``, a sketch of its distinct words: some kilobytes at
+    most, however many they are (2 to the power of ``precision`` registers). Sketches add up, so
+    those by transcript and speaker, stored with a release, answer for corpora, ages or all of it.
+    """
+    array = F.col("words") if "words" in utterances.columns else runs(F.col("text"))
+    found = utterances.select(*by, F.explode_outer(array).alias("run"))
+    word = plain(F.col("run"))
+    return found.groupBy(*by).agg(
+        F.count("run").alias("n_tokens"), F.hll_sketch_agg(word, precision).alias("types")
+    )
+
+
+def estimated_type_token_ratio(sketches: DataFrame, by: Sequence[str] = ("speaker",)) -> DataFrame:
+    """As ``type_token_ratio`` for any grouping by columns of ``sketches``, with ``n_types`` estimated.
+
+    ``n_tokens`` is exact. The standard error of ``n_types`` is about 0.8 over the square root of the
+    number of registers, 1.3 % at a precision of 12, whatever was united. Use ``type_token_ratio``
+    where the text may be read; it is exact.
+    """
+    united = sketches.groupBy(*by).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("types")).alias("n_types"),
+        F.sum("n_tokens").alias("n_tokens"),
+    )
+    united = united.select(*by, "n_types", "n_tokens")
+    return united.withColumn("ttr", ratio(F.col("n_types"), F.col("n_tokens")))

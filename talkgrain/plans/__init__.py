@@ -1,6 +1,7 @@
 from talkgrain.plans.analyses import derived_measures, frequency, population_properties
 from talkgrain.plans.collection import Collection, CollectionLayout, ingest_collection
 from talkgrain.plans.session import configured
+from talkgrain.plans.sql import register_sql
 
 __all__ = [
     "Collection",
@@ -10,4 +11,5 @@ __all__ = [
     "frequency",
     "ingest_collection",
     "population_properties",
+    "register_sql",
 ]

@@ -1,3 +1,4 @@
+from talkgrain.sources.copies import differing_ranges, mirror_ranges, multiset_digest
 from talkgrain.sources.jdbc import JdbcSplit, jdbc_tables, read_release_jdbc
 from talkgrain.sources.manifest import load_manifest, resolve_release, write_manifest
 from talkgrain.sources.releases import (
@@ -15,11 +16,14 @@ __all__ = [
     "JdbcSplit",
     "TranscriptLayout",
     "broadcast_if_small",
+    "differing_ranges",
     "ingest_transcripts",
     "jdbc_tables",
     "load_manifest",
+    "mirror_ranges",
     "mirror_release",
     "mirror_store",
+    "multiset_digest",
     "read_release",
     "read_release_jdbc",
     "read_releases",

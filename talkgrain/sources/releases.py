@@ -44,19 +44,22 @@ def release_table(
     Only the directory of that release is listed; the other releases, whose files may number
     in the millions, are not looked at even for planning.
     """
-    return (
+    rows = (
         _reader(spark, table, schema)
         .option("basePath", f"{base}/{table}")
-        .parquet(_directory(base, table, release))
+        .parquet(release_directory(base, table, release))
         .where(F.col("release") == release)
     )
+    # A copy made by ranges has a folder for each, which is no column of the table.
+    return rows.drop("range") if "range" not in _columns(table, schema).names else rows
 
 
 def read_releases(
     spark: SparkSession, base: str, table: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
     """Scan one table of all releases, told apart by the ``release`` column."""
-    return _reader(spark, table, schema).parquet(f"{base}/{table}")
+    rows = _reader(spark, table, schema).parquet(f"{base}/{table}")
+    return rows.drop("range") if "range" not in _columns(table, schema).names else rows
 
 
 def write_release(
@@ -73,22 +76,14 @@ def write_release(
     warning names those of ``df`` that are left out. Rows are sorted by corpus and speaker inside
     each file, in row groups of 32 MB, so that a pick of either skips most of them.
     """
-    wanted = _columns(table, schema)
-    missing = [f.name for f in wanted if f.name not in df.columns and f.name not in OPTIONAL]
-    if missing:
-        raise ValueError(f"{table} of release {release} has no {', '.join(missing)}")
-    left_out = [name for name in df.columns if name not in {*wanted.names, "release"}]
-    if left_out:
-        warnings.warn(f"not written to {table}: {', '.join(left_out)}", stacklevel=2)
-    present = [f for f in wanted if f.name in df.columns]
-    conformed = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in present))
-    order = [name for name in PICKED_BY if name in conformed.columns]
+    rows = conformed(df, table, release, schema)
+    order = [name for name in PICKED_BY if name in rows.columns]
     if order:
-        conformed = conformed.sortWithinPartitions(*order)
+        rows = rows.sortWithinPartitions(*order)
     # Straight into the directory of the release: unlike partitionBy on a constant, this needs
     # no sort of the rows by it, and it also replaces a release by an empty table.
-    writer = conformed.write.mode("overwrite").option("parquet.block.size", 32 * 1024 * 1024)
-    writer.parquet(_directory(base, table, release))
+    writer = rows.write.mode("overwrite").option("parquet.block.size", 32 * 1024 * 1024)
+    writer.parquet(release_directory(base, table, release))
 
 
 def mirror_release(
@@ -148,6 +143,21 @@ def mirror_store(
     return written
 
 
+def conformed(
+    df: DataFrame, table: str, release: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """The columns of a table as they are written: those of its schema, cast to its types."""
+    wanted = _columns(table, schema)
+    missing = [f.name for f in wanted if f.name not in df.columns and f.name not in OPTIONAL]
+    if missing:
+        raise ValueError(f"{table} of release {release} has no {', '.join(missing)}")
+    left_out = [name for name in df.columns if name not in {*wanted.names, "release"}]
+    if left_out:
+        warnings.warn(f"not written to {table}: {', '.join(left_out)}", stacklevel=3)
+    present = [f for f in wanted if f.name in df.columns]
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in present))
+
+
 def _columns(table: str, schema: T.StructType | str | None) -> T.StructType:
     columns = ENTITIES[table] if schema is None else schema
     return T.StructType.fromDDL(columns) if isinstance(columns, str) else columns
@@ -159,7 +169,7 @@ def _reader(spark: SparkSession, table: str, schema: T.StructType | str | None):
     return spark.read.schema(T.StructType([*columns, T.StructField("release", T.StringType())]))
 
 
-def _directory(base: str, table: str, release: str) -> str:
+def release_directory(base: str, table: str, release: str) -> str:
     if not RELEASE_NAME.fullmatch(release):
         raise ValueError(f"not a release name: {release!r}")
     return f"{base}/{table}/release={release}"
