@@ -205,9 +205,7 @@ def _union_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tg.union_releases([*before_phonology, _read_current(spark, sf_dir)])
 
 
-def _compare_releases(
-    spark: SparkSession, sf_dir: str, unique_keys: bool = False
-) -> DataFrame:
+def _compared(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Old: all but the French. New: without src3, src5 moved, lines joined in the text."""
     transcripts = _documents(spark, sf_dir).select(
         F.col("source").alias("corpus"), F.col("doc_id").alias("transcript_id"), "text", "lang"
@@ -220,6 +218,15 @@ def _compare_releases(
             "collection", F.when(F.col("corpus") == "src5", "phonological").otherwise("main")
         )
     )
+    columns = ["corpus", "transcript_id", "collection", "text"]
+    return {"1": old.select(columns), "2": new.select(columns)}
+
+
+def _compare_releases(
+    spark: SparkSession, sf_dir: str, unique_keys: bool = False
+) -> DataFrame:
+    releases = _compared(spark, sf_dir)
+    old, new = releases["1"], releases["2"]
     keys, attrs = ["corpus", "transcript_id"], ["collection", "text"]
     return tg.compare_releases(
         old, new, keys, attrs, digests=["text"], unique_keys=unique_keys
@@ -403,6 +410,38 @@ def _union_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stacked.withColumn("doc_id", F.col("doc_id").cast("string"))
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> str:
+    """The utterances of one release and the transcripts of two, by transcript; gives their prefix."""
+    name = f"b{abs(hash(sf_dir)):x}_"
+
+    def write(base: str) -> None:
+        lines, transcripts = _lines(spark, sf_dir), _transcripts(spark, sf_dir)
+        for release, rows in _compared(spark, sf_dir).items():
+            schema = "transcript_id long, collection string, text string"
+            tg.write_bucketed(rows, base, "texts", release, 8, schema=schema, prefix=name)
+        tg.write_bucketed(lines.drop("corpus"), base, "utterances", "2", 8, prefix=name)
+        tg.write_bucketed(transcripts, base, "transcripts", "2", 8, prefix=name)
+
+    _once(spark, sf_dir, "bucketed", write)
+    return name
+
+
+def _with_corpus_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prefix = _bucketed(spark, sf_dir)
+    utterances, transcripts = (
+        tg.bucketed_table(spark, table, "2", prefix).drop("release") for table in ("utterances", "transcripts")
+    )
+    return tg.with_corpus(utterances.drop("phonology"), transcripts)
+
+
+def _compare_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prefix = _bucketed(spark, sf_dir)
+    old, new = (tg.bucketed_table(spark, "texts", release, prefix) for release in "12")
+    return tg.compare_releases(
+        old, new, ["transcript_id"], ["collection", "text"], unique_keys=True, co_located=True
+    )
+
+
 def _sql(query: str) -> Query:
     """A query in SQL over the releases."""
 
@@ -425,6 +464,15 @@ def _estimated_ttr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("speaker", "n_tokens", near.alias("is_near"))
 
 
+def _corpus_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of one corpus in three that are stored under the name of the next one."""
+    number = F.regexp_extract("corpus", r"(\d+)", 1).cast("long")
+    wrong = (number % 3 == 0) & (F.col("utterance_order") % 2 == 0)
+    stored = F.when(wrong, F.concat(F.lit("src"), number + 1)).otherwise(F.col("corpus"))
+    lines = _lines(spark, sf_dir).withColumn("corpus", stored)
+    return tg.corpus_conflicts(lines, _transcripts(spark, sf_dir))
+
+
 _STATE_BY = ("corpus", "speaker")
 _DIGESTS = "transcript_id long, n_rows long, content string"
 _SIZES = "corpus string, speaker string, n_all long, n_utterances long, n_tokens long"
@@ -572,10 +620,14 @@ def _own_queries() -> dict[str, Query]:
         "mlu_w_delta": lambda s, d: tg.state_mlu_w(_updated_state(s, d)),
         "type_token_ratio_delta": lambda s, d: tg.state_type_token_ratio(_updated_state(s, d)),
         "population_delta": lambda s, d: tg.state_population(_updated_state(s, d)),
+        # Laid out by transcript: no shuffle.
+        "with_corpus_bucketed": _with_corpus_bucketed,
+        "compare_releases_bucketed": _compare_bucketed,
         # Copies that are proven, and releases whose types changed.
         "mirror_ranges": _mirror_ranges,
         "differing_ranges": _differing_ranges,
         "union_releases_widened": _union_widened,
+        "corpus_conflicts": _corpus_conflicts,
         # The measures in SQL.
         "sql_word_frequency": _sql("SELECT * FROM talk_word_frequency('2019.1', array('de', 'en'))"),
         "sql_mlu_w": _sql("SELECT * FROM talk_mlu_w()"),
@@ -964,6 +1016,13 @@ def _own_oracle_sql() -> dict[str, str]:
             SELECT corpus, speaker, count(*) AS n_utterances,
                    sum(coalesce(len({_WORDS}), 0))::bigint AS n_tokens
             FROM newer GROUP BY corpus, speaker""",
+        "corpus_conflicts": f"""WITH {_LINES}, numbered AS (
+                SELECT *, regexp_extract(corpus, '(\\d+)', 1)::bigint AS i FROM lines)
+            SELECT transcript_id, 'src' || (i + 1) AS stored, corpus, count(*) AS n_rows
+            FROM numbered WHERE i % 3 = 0 AND utterance_order % 2 = 0
+            GROUP BY transcript_id, i, corpus""",
+        "with_corpus_bucketed": f"WITH {_LINES} SELECT * FROM lines",
+        "compare_releases_bucketed": f"SELECT * EXCLUDE (corpus) FROM ({_COMPARED})",
         "mirror_ranges": current,
         "differing_ranges": """
             SELECT 0::bigint AS low, 100::bigint AS high,

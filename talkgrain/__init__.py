@@ -38,11 +38,19 @@ from talkgrain.operators import (
     with_corpus,
     word_frequency,
 )
-from talkgrain.plans import Collection, CollectionLayout, ingest_collection, register_sql
+from talkgrain.plans import (
+    Collection,
+    CollectionLayout,
+    check_release,
+    corpus_conflicts,
+    ingest_collection,
+    register_sql,
+)
 from talkgrain.sources import (
     JdbcSplit,
     TranscriptLayout,
     broadcast_if_small,
+    bucketed_table,
     differing_ranges,
     ingest_transcripts,
     jdbc_tables,
@@ -57,6 +65,7 @@ from talkgrain.sources import (
     release_table,
     resolve_release,
     spread,
+    write_bucketed,
     write_manifest,
     write_release,
 )
@@ -68,10 +77,13 @@ __all__ = [
     "MeasureState",
     "TranscriptLayout",
     "broadcast_if_small",
+    "bucketed_table",
     "changed_transcripts",
+    "check_release",
     "common_type",
     "compare_releases",
     "compare_utterances",
+    "corpus_conflicts",
     "differing_ranges",
     "estimated_type_token_ratio",
     "for_corpora",
@@ -121,6 +133,7 @@ __all__ = [
     "word_count",
     "word_frequency",
     "words",
+    "write_bucketed",
     "write_manifest",
     "write_release",
 ]

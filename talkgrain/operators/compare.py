@@ -14,6 +14,7 @@ def compare_releases(
     moved_by: Sequence[str] = ("collection",),
     digests: Sequence[str] = (),
     unique_keys: bool = False,
+    co_located: bool = False,
 ) -> DataFrame:
     """The status of every key: added, removed, moved, revised or same.
 
@@ -31,11 +32,17 @@ def compare_releases(
 
     ``unique_keys`` is for releases in which no key is repeated; one that is stops the run. Each
     release then crosses the network once instead of three times, and 128 bits of hash stand for
-    the attributes, whatever ``digests`` says.
+    the attributes, whatever ``digests`` says. ``co_located`` is for such releases that are laid out
+    by their one key (``write_bucketed``): they are grouped and joined where they are, and nothing
+    crosses the network.
     """
     if not set(digests) <= set(attrs):
         raise ValueError("digests must name attributes")
     moving = [name for name in attrs if name in moved_by]
+    if co_located:
+        if not unique_keys or len(keys) != 1:
+            raise ValueError("co_located is for one key that is not repeated: unique_keys=True")
+        return _compare_co_located(old, new, keys[0], moving, list(attrs))
     if unique_keys:
         return _compare_unique(old, new, keys, moving, list(attrs))
     columns = [*keys, *attrs]
@@ -80,15 +87,8 @@ def _compare_unique(
 ) -> DataFrame:
     """One grouping by key of both releases; only numbers are aggregated."""
 
-    def hashes(names: list[str]) -> list[Column]:
-        # A hash skips NULL, so it is told where NULLs are.
-        values = [*names, *(F.col(name).isNull() for name in names)]
-        return [F.xxhash64(F.lit(salt), *values) for salt in (0, 1)]
-
     def side(release: DataFrame, in_old: int) -> DataFrame:
-        found = [*hashes(moving), *hashes(attrs)]
-        named = [h.alias(f"h{i}") for i, h in enumerate(found)]
-        return release.select(*keys, *named, F.lit(in_old).alias("in_old"))
+        return release.select(*keys, *_hashes(moving, attrs), F.lit(in_old).alias("in_old"))
 
     stacked = side(old, 1).unionByName(side(new, 0))
     is_old = F.col("in_old") == 1
@@ -98,6 +98,38 @@ def _compare_unique(
         *(F.max(F.when(is_old, F.col(f"h{i}"))).alias(f"old{i}") for i in range(4)),
         *(F.max(F.when(~is_old, F.col(f"h{i}"))).alias(f"new{i}") for i in range(4)),
     )
+    return counts.select(*keys, "n_old", "n_new", _unique_status())
+
+
+def _compare_co_located(
+    old: DataFrame, new: DataFrame, key: str, moving: list[str], attrs: list[str]
+) -> DataFrame:
+    """Each release grouped by its key, and the two joined on it."""
+
+    def side(release: DataFrame, name: str) -> DataFrame:
+        rows = release.where(F.col(key).isNotNull()).select(key, *_hashes(moving, attrs))
+        values = (F.max(f"h{i}").alias(f"{name}{i}") for i in range(4))
+        return rows.groupBy(key).agg(F.count(F.lit(1)).alias(f"n_{name}"), *values)
+
+    joined = side(old, "old").join(side(new, "new"), key, "full")
+    counts = (F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_old", "n_new"))
+    values = (f"{name}{i}" for name in ("old", "new") for i in range(4))
+    found = joined.select(key, *counts, *values).select(key, "n_old", "n_new", _unique_status())
+    # A join does not match a NULL key; there is one at most.
+    bare = [release.where(F.col(key).isNull()) for release in (old, new)]
+    return found.unionByName(_compare_unique(*bare, [key], moving, attrs))
+
+
+def _hashes(moving: list[str], attrs: list[str]) -> list[Column]:
+    def pair(names: list[str]) -> list[Column]:
+        # A hash skips NULL, so it is told where NULLs are.
+        values = [*names, *(F.col(name).isNull() for name in names)]
+        return [F.xxhash64(F.lit(salt), *values) for salt in (0, 1)]
+
+    return [h.alias(f"h{i}") for i, h in enumerate([*pair(moving), *pair(attrs)])]
+
+
+def _unique_status() -> Column:
     differ = [F.col(f"old{i}") != F.col(f"new{i}") for i in range(4)]
     repeated = F.raise_error(F.lit("a key is repeated: compare with unique_keys=False"))
     status = (
@@ -108,4 +140,4 @@ def _compare_unique(
         .when(differ[2] | differ[3], "revised")
         .otherwise("same")
     )
-    return counts.select(*keys, "n_old", "n_new", status.alias("status"))
+    return status.alias("status")

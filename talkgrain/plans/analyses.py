@@ -106,11 +106,13 @@ def _utterances(
     if corpora is not None:
         corpora = list(corpora)
         if "corpus" in utterances.columns:
-            # Lets the scan skip other corpora; a release without the column has NULL there.
+            # Lets the scan skip other corpora; a release without the column has NULL there. The
+            # stored corpus is that of the transcript, which ``check_release`` makes sure of.
             utterances = utterances.where(
                 F.col("corpus").isin(corpora) | F.col("corpus").isNull()
             )
-        # The transcripts decide. If those picked fit in memory, no text is shuffled for it.
+        # Rows without a stored corpus are picked by their transcript. If the transcripts that are
+        # picked fit in memory, no text is shuffled for it.
         picked = for_corpora(release_table(spark, base, "transcripts", release), corpora)
         utterances = of_transcripts(utterances, broadcast_if_small(picked.select("transcript_id")))
     return spread(utterances) if spread_scan else utterances

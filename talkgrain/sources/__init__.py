@@ -1,3 +1,4 @@
+from talkgrain.sources.buckets import bucketed_table, write_bucketed
 from talkgrain.sources.copies import differing_ranges, mirror_ranges, multiset_digest
 from talkgrain.sources.jdbc import JdbcSplit, jdbc_tables, read_release_jdbc
 from talkgrain.sources.manifest import load_manifest, resolve_release, write_manifest
@@ -16,6 +17,7 @@ __all__ = [
     "JdbcSplit",
     "TranscriptLayout",
     "broadcast_if_small",
+    "bucketed_table",
     "differing_ranges",
     "ingest_transcripts",
     "jdbc_tables",
@@ -30,6 +32,7 @@ __all__ = [
     "release_table",
     "resolve_release",
     "spread",
+    "write_bucketed",
     "write_manifest",
     "write_release",
 ]
