@@ -33,6 +33,7 @@ from talkgrain.operators import (
     transcript_digests,
     type_sketches,
     type_token_ratio,
+    under_old_ids,
     union_releases,
     updated_state,
     with_corpus,
@@ -127,6 +128,7 @@ __all__ = [
     "transcript_digests",
     "type_sketches",
     "type_token_ratio",
+    "under_old_ids",
     "union_releases",
     "updated_state",
     "with_corpus",

@@ -17,7 +17,7 @@ from talkgrain.operators.increments import (
     transcript_digests,
     updated_state,
 )
-from talkgrain.operators.linkage import match_transcripts
+from talkgrain.operators.linkage import match_transcripts, under_old_ids
 from talkgrain.operators.measures import (
     growth_curve,
     growth_curve_by_transcript,
@@ -64,6 +64,7 @@ __all__ = [
     "transcript_digests",
     "type_sketches",
     "type_token_ratio",
+    "under_old_ids",
     "union_releases",
     "updated_state",
     "with_corpus",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkgrain.operators.numbering import numbered_within, written
+from talkgrain.sources.scans import broadcast_if_small
 
 SIDES = ("old", "new")
 
@@ -15,6 +16,20 @@ def utterance_digest(compared: Sequence[str]) -> Column:
     return F.xxhash64(*compared, *(F.col(name).isNull() for name in compared))
 
 
+def under_old_ids(new: DataFrame, links: DataFrame) -> DataFrame:
+    """The utterances of ``new`` whose transcript is linked to an old one, under the id of that.
+
+    ``links`` is the result of ``match_transcripts``. With it ``compare_utterances`` can follow
+    transcripts through a change of their ids; those that were added are left out.
+    """
+    pairs = links.where("old_id IS NOT NULL AND new_id IS NOT NULL")
+    pairs = broadcast_if_small(pairs.select(F.col("new_id").alias("_new"), F.col("old_id").alias("_old")))
+    joined = new.join(pairs, F.col("transcript_id") == F.col("_new"))
+    return joined.select(
+        *(F.col("_old").alias(c) if c == "transcript_id" else F.col(c) for c in new.columns)
+    )
+
+
 def match_transcripts(
     old: DataFrame,
     new: DataFrame,

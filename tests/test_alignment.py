@@ -285,3 +285,15 @@ def test_links_of_odd_rows(spark, rows_of):
     got = rows_of(tg.match_transcripts(old, old.where("transcript_id <> 'a'")), "old_id", "new_id", "status")
     assert ("b", "b", "same") in got and ("c", "c", "same") in got and ("a", None, "removed") in got
     assert tg.match_transcripts(old.limit(0), old.limit(0)).collect() == []
+
+
+def test_utterances_are_followed_through_new_ids(spark, rows_of):
+    old = {t: [f"{t} {k}" for k in range(6)] for t in range(5)}
+    new = {100 + t: [*texts[:2], "um", *texts[2:]] for t, texts in old.items() if t != 3}
+    new[3] = ["nothing", "in common"]
+    links = tg.match_transcripts(frame(spark, old), frame(spark, new))
+    followed = tg.under_old_ids(frame(spark, new), links)
+    assert followed.columns == UTTERANCES.replace(" long", "").replace(" string", "").split(", ")
+    found = tg.compare_utterances(frame(spark, old), followed)
+    counts = Counter((r["transcript_id"], r["status"]) for r in found.collect())
+    assert counts == {(t, s): n for t in (0, 1, 2, 4) for s, n in (("same", 6), ("inserted", 1))} | {(3, "deleted"): 6}
