@@ -285,16 +285,12 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``judge_quality`` would keep.
 
-    One scan writes each row with its votes, which are counted for the model; the verdicts are then
-    made from the written table, so no text is cut into words twice. A null or empty text fails the
-    base and goes, a long text is read whole; equal rows stay or go together.
+    One scan writes each row with its counts; votes and verdicts are then made from the written table,
+    so no text is cut into words twice. A null or empty text fails the base and goes, a long text is
+    read whole; equal rows stay or go together.
     """
     names = docs.columns
     found = docs.select(F.struct("*").alias("row"), text_features(F.col(text_col)).alias("x"))
-    judged = found.select(
-        "row", _votes(F.col("x"), rules).alias("votes"), base_failed(F.col("x")).alias("base_failed")
-    )
-    table = written(judged, "quality-votes")
-    posterior = fit_votes(table, len(rules)).posterior(F.col("votes"))
-    kept = table.where(~F.col("base_failed") & (posterior >= threshold))
+    table = written(found, "quality-counts").withColumn("votes", _votes(F.col("x"), rules))
+    kept = _verdict(table, fit_votes(table, len(rules)), threshold).where("kept")
     return kept.select(*(F.col("row")[name].alias(name) for name in names))
