@@ -155,7 +155,8 @@ def find_pii(
 
 
 def pii_digest(found: DataFrame) -> DataFrame:
-    """Counts and digests of ``find_pii``: base kinds counted and hashed, all spans as text."""
+    """Counts and digests of ``find_pii``: base kinds counted and hashed, all spans as text, and
+    their scores (``scores``, in the order of ``spans``, in hundredths)."""
     names = [kind.name for kind in KINDS if kind.base]
 
     def listed(which: Column) -> Column:
@@ -172,4 +173,7 @@ def pii_digest(found: DataFrame) -> DataFrame:
         *(of(name).alias(f"n_{name}") for name in names),
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
+        F.array_join(
+            F.transform("spans", lambda s: F.round(100 * s["score"]).cast("int").cast("string")), ","
+        ).alias("scores"),
     )

@@ -131,3 +131,13 @@ def test_the_query_scans_only_what_its_ledger_lacks(spark, rows_of, tmp_path, mo
     added = rows().where("version = 2")
     assert added.count() == blobs and rows().count() == blobs * (len(secrets.RULES) + 1)
     assert {r[0] for r in added.select("rule").distinct().collect()} == {"hex"}
+
+
+def test_context_words_raise_the_score_of_any_span(spark):
+    docs = frame(spark, ["write an e-mail to a@b.cd", "a@b.cd", "visa 4111111111111111 and a@b.cd", "nothing"])
+    rows = pii_digest(find_pii(docs)).orderBy("doc_id").collect()
+    scores = [[int(x) for x in r["scores"].split(",") if x] for r in rows]
+    assert [len(s) for s in scores] == [1, 1, 2, 0]
+    assert scores[0][0] > scores[1][0] == 70
+    # By kind: the e-mail address, then the card, which stands beside its word.
+    assert scores[2][0] == 70 and scores[2][1] > 60
