@@ -54,7 +54,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.lines_as_utterances(tg.spread(_documents(spark, sf_dir)))
+    return tg.lines_as_utterances(tg.spread(_documents(spark, sf_dir), ["doc_id"]))
 
 
 def _utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def _utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.spread(_utterances(spark, sf_dir))
+    return tg.spread(_utterances(spark, sf_dir), ["transcript_id", "utterance_order"])
 
 
 def _transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,8 +100,13 @@ def _release_store(spark: SparkSession, sf_dir: str) -> str:
     """
 
     def write(base: str) -> None:
-        lines = _lines(spark, sf_dir)
-        documents = _documents(spark, sf_dir)
+        # The table may come as one piece: it is dealt out once, so that each task sorts and cuts a
+        # bounded part of it, and by doc_id, for dealing in turn would sort that piece in memory.
+        dealt = f"{base}/dealt"
+        tg.spread(_documents(spark, sf_dir), ["doc_id"]).write.parquet(dealt)
+        documents = spark.read.schema(_DOCUMENTS).parquet(dealt)
+        # Documents are sorted, and not their lines and words, which come in the same order.
+        lines = tg.lines_as_utterances(documents.sortWithinPartitions("source", "lang"))
         transcripts = documents.select(
             F.col("doc_id").alias("transcript_id"),
             F.col("source").alias("corpus"),
@@ -115,10 +120,9 @@ def _release_store(spark: SparkSession, sf_dir: str) -> str:
             if kept is None:
                 utterances = utterances.withColumn("phonology", F.lower("text"))
             members = transcripts.where(kept.format("lang")) if kept else transcripts
-            tg.write_release(utterances, base, "utterances", release)
+            tg.write_release(utterances, base, "utterances", release, arranged=True)
             tg.write_release(members.drop("lang"), base, "transcripts", release, _TRANSCRIPTS)
-        tokens = tg.tokens(_spread_lines(spark, sf_dir))
-        tg.write_release(tokens, base, "tokens", "2020.1")
+        tg.write_release(tg.tokens(lines), base, "tokens", "2020.1", arranged=True)
         corpora = transcripts.select("corpus", "collection").distinct()
         tg.write_release(corpora, base, "corpora", "2020.1")
         tg.write_manifest(spark, f"{base}/manifest.json", ["2018.1", "2019.1", "2020.1"], "2020.1")

@@ -115,4 +115,5 @@ def _utterances(
         # picked fit in memory, no text is shuffled for it.
         picked = for_corpora(release_table(spark, base, "transcripts", release), corpora)
         utterances = of_transcripts(utterances, broadcast_if_small(picked.select("transcript_id")))
-    return spread(utterances) if spread_scan else utterances
+    keys = [c for c in ("transcript_id", "utterance_order") if c in utterances.columns]
+    return spread(utterances, keys) if spread_scan else utterances

@@ -68,6 +68,7 @@ def write_release(
     table: str,
     release: str,
     schema: T.StructType | str | None = None,
+    arranged: bool = False,
 ) -> None:
     """Write one table of one release. Writing it again replaces that release and no other.
 
@@ -75,10 +76,14 @@ def write_release(
     so that they read back; a missing one is an error unless it is in ``schemas.OPTIONAL``, and a
     warning names those of ``df`` that are left out. Rows are sorted by corpus and speaker inside
     each file, in row groups of 32 MB, so that a pick of either skips most of them.
+
+    The sort takes the memory of a partition of ``df``. Lines or words are many times the rows they
+    are cut from: sort those before (in partitions that ``spread`` bounds) and say ``arranged``, and
+    the rows are written as they come.
     """
     rows = conformed(df, table, release, schema)
     order = [name for name in PICKED_BY if name in rows.columns]
-    if order:
+    if order and not arranged:
         rows = rows.sortWithinPartitions(*order)
     # Straight into the directory of the release: unlike partitionBy on a constant, this needs
     # no sort of the rows by it, and it also replaces a release by an empty table.

@@ -1,5 +1,6 @@
 """Help for scans that arrive in too few pieces, and for lookup tables that may be small."""
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -16,15 +17,18 @@ FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampN
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rebalance the rows of a scan that would keep most cores waiting. Costs a full shuffle.
 
     Cutting text into words is the costly step, and a Parquet file with one row group, or one
     XML file, would do all of it on one core. Ask for it for such inputs only; releases written
     by ``write_release`` have many row groups and do not need it. Adaptive execution picks the
     number of pieces from their real size.
+
+    Rows go by the hash of ``by``, which should tell them apart. Without it they are dealt in turn,
+    and to do that alike on every run Spark sorts all that a task reads, in its memory.
     """
-    return scan.hint("rebalance")
+    return scan.hint("rebalance", *by)
 
 
 def broadcast_if_small(lookup: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import talkgrain as tg
@@ -264,3 +265,28 @@ def test_settings():
     assert dict(configured(Builder(), large=True)) == {**SETTINGS, **LARGE}
     own = dict(configured(Builder(), shuffle_partitions=7))
     assert own == {**SETTINGS, "spark.sql.shuffle.partitions": "7"}
+
+
+def test_rows_are_dealt_by_their_key_without_a_sort(spark):
+    few = spark.range(0, 1000, 1, numPartitions=2).withColumn("text", F.lit("x"))
+    dealt = tg.spread(few, ["id"])
+    assert "RoundRobin" not in plan(dealt) and "hashpartitioning(id" in plan(dealt)
+    assert dealt.count() == 1000
+    base = driver._release_store(spark, SF_DIR)
+    assert "RoundRobin" not in plan(plans.frequency(spark, base, spread_scan=True))
+
+
+def test_ratio_by_transcript_shuffles_no_words_of_a_transcript(spark):
+    text = plan(driver.queries()["analysis_growth_ttr_by_transcript"](spark, SF_DIR))
+    dealt = [line for line in text.splitlines() if "hashpartitioning" in line]
+    assert any("word" in line for line in dealt)
+    assert not any("transcript_id" in line and "word" in line for line in dealt)
+
+
+def test_words_of_a_group_do_not_meet_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr("talkgrain.operators.diversity._MOST_CHUNK", 400)
+    text = plan(tg.moving_type_token_ratio(utterances(spark), 5))
+    # Words are dealt out by chunk; what is dealt by speaker alone are counts.
+    assert any("hashpartitioning(speaker" in line and "chunk" in line for line in text.splitlines())
+    # The start of each group is broadcast; only its counts may be joined by a sort.
+    assert "BroadcastHashJoin" in text and text.split("\n\n\n")[0].count("SortMergeJoin") <= 1

@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 import talkgrain as tg
 from talkgrain import plans, schemas
@@ -361,3 +362,25 @@ def test_analyses_read_the_current_release_and_say_which(spark, store, rows_of):
         ("CHI", 0, 2, 3, 2 / 3, "2018.1"),
         ("MOT", 0, 4, 4, 1.0, "2018.1"),
     ]
+
+
+def test_arranged_rows_are_written_as_they_come(spark, tmp_path):
+    rows = [(i, 1, corpus, "CHI", "x") for i, corpus in enumerate("bca")]
+    names = "transcript_id long, utterance_order long, corpus string, speaker string, text string"
+    df = spark.createDataFrame(rows, names).coalesce(1)
+    for arranged, found in ((True, "bca"), (False, "abc")):
+        tg.write_release(df, str(tmp_path), "utterances", "1", arranged=arranged)
+        stored = tg.release_table(spark, str(tmp_path), "utterances", "1")
+        assert "".join(row["corpus"] for row in stored.collect()) == found
+
+
+def test_files_of_the_store_are_sorted_by_corpus_and_speaker(spark):
+    import __spark_entry__ as driver
+
+    base = driver._release_store(spark, "/root/testdata/sf0.01")
+    for table in ("utterances", "tokens"):
+        rows = tg.release_table(spark, base, table, "2020.1")
+        here = rows.select("corpus", "speaker", F.input_file_name().alias("file")).collect()
+        for file in {row["file"] for row in here}:
+            keys = [(row["corpus"], row["speaker"]) for row in here if row["file"] == file]
+            assert keys == sorted(keys)
