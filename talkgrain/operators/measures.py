@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from talkgrain.functions.text import array_length, plain, ratio, runs, word_count
 from talkgrain.operators.utterances import one_per_transcript
+from talkgrain.sources.scans import broadcast_if_small
 
 
 def word_frequency(utterances: DataFrame, by: Sequence[str] = ("speaker",)) -> DataFrame:
@@ -126,24 +127,27 @@ def growth_curve_by_transcript(
 ) -> DataFrame:
     """A measure over a time that the transcripts have, such as the age at a recording.
 
-    The text never meets the transcripts: what is joined are counts, by transcript and group for
-    the mean length, by transcript, group and word for the type-token ratio. Utterances of no
-    transcript, or of one without a time, are in the bin NULL.
+    For the mean length the text never meets the transcripts: what is joined are counts by
+    transcript and group. For the type-token ratio that would be a row for most words of the text,
+    so there the text is joined to the bins, which are broadcast if measured to be small, and its
+    words are counted by bin at once. Utterances of no transcript, or of one without a time, are in
+    the bin NULL.
     """
     _checked(measure)
-    counted, keys = ["transcript_id", *by], [*by, "bin"]
-    if measure == "mlu_w":
-        per_transcript = mlu_w(utterances, counted).drop("mlu_w")
-    else:
-        per_transcript = _per_word(utterances, counted)
-    placed = _binned(_looked_up(per_transcript, transcripts, [time_col]), time_col, bin_width)
+    keys = [*by, "bin"]
     if measure == "mlu_w":
+        per_transcript = mlu_w(utterances, ["transcript_id", *by]).drop("mlu_w")
+        placed = _binned(_looked_up(per_transcript, transcripts, [time_col]), time_col, bin_width)
         summed = placed.groupBy(*keys).agg(
             F.sum("n_utterances").alias("n_utterances"), F.sum("n_tokens").alias("n_tokens")
         )
         result = summed.withColumn("mlu_w", ratio(F.col("n_tokens"), F.col("n_utterances")))
     else:
-        result = _ratio_of_types(placed.groupBy(*keys, "word").agg(F.sum("n").alias("n")), keys)
+        spoken = next(c for c in ("word", "words", "text") if c in utterances.columns)
+        times = one_per_transcript(transcripts, [time_col])
+        bins = _binned(times, time_col, bin_width).select("transcript_id", "bin")
+        cut = utterances.select("transcript_id", *by, spoken)
+        result = type_token_ratio(cut.join(broadcast_if_small(bins), "transcript_id", "left"), keys)
     return result.orderBy(*keys) if ordered else result
 
 
