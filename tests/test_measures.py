@@ -1,5 +1,7 @@
 """Measures on hand-made rows, their properties, and words against a second implementation."""
 
+import random
+
 import pytest
 import regex
 from hypothesis import given, settings
@@ -7,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import talkgrain as tg
+from talkgrain.operators import diversity
 
 
 def test_words_and_counts(utterances, rows_of):
@@ -284,3 +287,28 @@ def test_curve_over_a_time_of_the_transcripts(spark, utterances, rows_of, measur
     aged = utterances.withColumn("age", F.when(F.col("transcript_id") == 1, 24.5))
     curve = tg.growth_curve_by_transcript(utterances, transcripts, measure, "age", 12)
     assert rows_of(curve) == rows_of(tg.growth_curve(aged, measure, "age", 12))
+
+
+@pytest.mark.parametrize("dealt_whole", [True, False])
+def test_moving_ratio_by_chunks(spark, monkeypatch, dealt_whole):
+    """Chunks of two runs, which utterances and repeated words reach over."""
+    monkeypatch.setattr(diversity, "_RUNS", 2)
+    if not dealt_whole:
+        monkeypatch.setattr(diversity, "_MOST_CHUNK", 0)
+    random.seed(4)
+    spoken = [
+        (who, t, u, " ".join(random.choices("a b C d’s e f".split(), k=random.choice([0, 1, 2, 30]))))
+        for who in ("x", "y", None) for t in range(4) for u in range(3)
+    ]
+    spoken += [("z", 1, 1, "a b"), ("z", 1, 2, None)]
+    df = spark.createDataFrame(spoken, "speaker string, transcript_id long, utterance_order long, text string")
+    for window in (1, 3, 7):
+        expected = {}
+        for who in ("x", "y", None, "z"):
+            words = [w for s, _, _, text in spoken if s == who for w in (text or "").lower().split()]
+            sets = [len(set(words[i : i + window])) for i in range(len(words) - window + 1)]
+            expected[who] = (len(words), len(sets), sum(sets) / (window * len(sets)) if sets else None)
+        for given in (df, tg.tokenize(df).drop("text")):
+            got = tg.moving_type_token_ratio(given, window).collect()
+            assert {r["speaker"]: (r["n_tokens"], r["n_windows"]) for r in got} == {k: v[:2] for k, v in expected.items()}
+            assert all(r["mttr"] == pytest.approx(expected[r["speaker"]][2]) for r in got)
