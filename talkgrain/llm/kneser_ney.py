@@ -31,7 +31,7 @@ def _tokens(text: bytes | None) -> np.ndarray:
 
 
 def _trigrams(batches):
-    for batch in batches:
+    for batch in pieces(batches):
         found = []
         for text in batch.column("_text").to_pylist():
             t = _tokens(text)
@@ -286,17 +286,16 @@ def _arrays(tables: list[DataFrame]) -> tuple[list[tuple[np.ndarray, np.ndarray]
 
 
 def train_ngrams(docs: DataFrame, text_col: str = "text") -> Lookup:
-    """The model of ``docs`` on the driver: bound ``docs`` by a sample."""
+    """The model of ``docs`` on the driver, whose memory it must fit."""
     model = ngram_model(docs, text_col)
     return Lookup(*_arrays(model_tables(model, None)), model.unseen)
 
 
-def training_documents(docs: DataFrame, ids: DataFrame, most: int, id_col: str, text_col: str) -> DataFrame:
-    """The texts of ``docs`` with an id of even hash: of those ids, the ``most`` least hashes."""
-    even = ids.where(F.xxhash64("_id") % 2 == 0)
-    picked = even.orderBy(F.xxhash64("_id"), "_id").limit(most)
-    found = docs.join(F.broadcast(picked), F.col(id_col) == F.col("_id"), "semi")
-    return written(found.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "training")
+def training_documents(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The texts of all ``docs`` with an id of even hash among ``ids``."""
+    even = broadcast_if_small(ids.where(F.xxhash64("_id") % 2 == 0))
+    found = docs.join(even, F.col(id_col) == F.col("_id"), "semi")
+    return found.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
 
 def _together(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -407,7 +406,6 @@ def judge_perplexity(
     docs: DataFrame,
     trusted: DataFrame,
     toxic: DataFrame | None = None,
-    train_docs: int = 3000,
     quantile: float = 0.995,
     alarm_quantile: float = 0.99,
     most_broadcast: int = 64 << 20,
@@ -420,8 +418,8 @@ def judge_perplexity(
 
     Returns ``doc_id``, ``lang``, ``n_tokens`` (words and the end), ``perplexity``, ``threshold``,
     ``alarm``, ``alarm_threshold`` and ``kept``. ``trusted`` has the ids (``doc_id``) of texts known to
-    be good, ``toxic`` those of texts to be kept out. A model is fit on each, on at most
-    ``train_docs`` of one half of the ids, which bounds it. The alarm of a text is the largest
+    be good, ``toxic`` those of texts to be kept out. A model is fit on each, on all documents of one
+    half of the ids; the other half is for the limits. The alarm of a text is the largest
     log-ratio of the probabilities that the two models give to one of its words, so that a short bad
     passage shows in a long text; without ``toxic``, or a word of it, it is null. The limits of a
     language are the ``quantile`` and the ``alarm_quantile`` of its trusted documents that the model
@@ -439,10 +437,10 @@ def judge_perplexity(
         return rows.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
 
     good = ids_of(trusted)
-    sample = training_documents(docs, good, train_docs, id_col, text_col)
-    model, bad = ngram_model(sample, "_text"), None
+    # Ids of a hash that is not even are kept from the models.
+    model, bad = ngram_model(training_documents(docs, good, id_col, text_col), "_text"), None
     if toxic is not None:
-        bad = word_model(training_documents(docs, ids_of(toxic), train_docs, id_col, text_col), "_text")
+        bad = word_model(training_documents(docs, ids_of(toxic), id_col, text_col), "_text")
     tables = model_tables(model, bad)
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(
@@ -459,7 +457,7 @@ def judge_perplexity(
         table = written(reduce(DataFrame.unionByName, tables), "model")
         scored = _scored_by_joins(source, table, model.unseen, most_bits)
     scored = written(scored, "perplexities")
-    fresh = good.join(sample.select("_id"), "_id", "anti")
+    fresh = good.where(F.xxhash64("_id") % 2 != 0)
     unseen_good = scored.join(fresh, F.col("doc_id") == F.col("_id"), "semi")
     shares = {"perplexity": quantile, "alarm": alarm_quantile}
     limits = [F.percentile_approx(c, share, 10_000) for c, share in shares.items()]

@@ -292,3 +292,15 @@ def test_perplexity_of_odd_rows(spark, odd):
     joined = judge_perplexity(docs, trusted, trusted, most_broadcast=0).collect()
     assert len(joined) == len(ODD)
     assert judge_perplexity(docs.limit(0), trusted, trusted, most_broadcast=0).collect() == []
+
+
+def test_models_are_fit_on_all_documents_of_their_half(spark):
+    """Each trusted text has a word of its own: the model knows those of every even hash."""
+    docs = spark.range(8000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    found = kneser_ney.training_documents(docs, docs.select(F.col("doc_id").alias("_id")), "doc_id", "text")
+    even = docs.where(F.xxhash64("doc_id") % 2 == 0).count()
+    assert found.count() == even > 3000
+    judged = judge_perplexity(docs.withColumn("lang", F.lit("x")), docs.select("doc_id"))
+    # A word that was seen is likelier than one that was not.
+    least = judged.agg(F.min("perplexity")).first()[0]
+    assert judged.where(F.col("perplexity") < least * 1.001).count() == even
