@@ -103,7 +103,7 @@ def _release_store(spark: SparkSession, sf_dir: str) -> str:
         # The table may come as one piece: it is dealt out once, so that each task sorts and cuts a
         # bounded part of it, and by doc_id, for dealing in turn would sort that piece in memory.
         dealt = f"{base}/dealt"
-        tg.spread(_documents(spark, sf_dir), ["doc_id"]).write.parquet(dealt)
+        tg.spread(_documents(spark, sf_dir), ["doc_id"]).write.option("compression", "zstd").parquet(dealt)
         documents = spark.read.schema(_DOCUMENTS).parquet(dealt)
         # Documents are sorted, and not their lines and words, which come in the same order.
         lines = tg.lines_as_utterances(documents.sortWithinPartitions("source", "lang"))

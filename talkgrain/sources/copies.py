@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talkgrain.sources.releases import conformed, release_directory
+from talkgrain.sources.releases import COMPRESSION, conformed, release_directory
 
 LEDGER = "range int, low long, high long, n long, total decimal(38,0), parity long"
 
@@ -88,7 +88,8 @@ def mirror_ranges(
         rows = conformed(source(low, high), table, release, schema)
         sent = Observation(f"{table}-{k}")
         part = f"{folder}/range={k}"
-        rows.observe(sent, *multiset_digest(rows.columns)).write.mode("overwrite").parquet(part)
+        proven = rows.observe(sent, *multiset_digest(rows.columns))
+        proven.write.mode("overwrite").option("compression", COMPRESSION).parquet(part)
         copy = spark.read.schema(rows.schema).parquet(part).agg(*multiset_digest(rows.columns)).first()
         if sent.get != copy.asDict():
             raise RuntimeError(f"{table}, keys from {low} to {high}: sent {sent.get}, the copy has {copy.asDict()}")

@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from talkgrain.schemas import ENTITIES, OPTIONAL, PICKED_BY
 from talkgrain.sources.manifest import load_manifest, resolve_release, write_manifest
 
+# A release is written once and copied and read often: smaller files are worth the time.
+COMPRESSION = "zstd"
+
 # Names that need no escaping in a directory name.
 RELEASE_NAME = re.compile(r"[A-Za-z0-9_.\-]+")
 
@@ -88,7 +91,7 @@ def write_release(
     # Straight into the directory of the release: unlike partitionBy on a constant, this needs
     # no sort of the rows by it, and it also replaces a release by an empty table.
     writer = rows.write.mode("overwrite").option("parquet.block.size", 32 * 1024 * 1024)
-    writer.parquet(release_directory(base, table, release))
+    writer.option("compression", COMPRESSION).parquet(release_directory(base, table, release))
 
 
 def mirror_release(

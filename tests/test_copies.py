@@ -209,3 +209,14 @@ def test_sql_of_an_unknown_release_stops(spark, store):
     tg.register_sql(spark, store)
     with pytest.raises(Exception, match="release 7 is not supported"):
         spark.sql("SELECT * FROM utterances('7')").collect()
+
+
+def test_copies_and_releases_are_written_small(spark, tmp_path):
+    rows = spark.range(100).select(
+        F.col("id").alias("transcript_id"), F.lit("a").alias("corpus"), F.lit("main").alias("collection")
+    )
+    tg.write_release(rows, f"{tmp_path}/a", "transcripts", "1")
+    tg.mirror_ranges(spark, lambda low, high: rows.where("false") if low else rows, "transcripts", "1", [500], f"{tmp_path}/b")
+    for folder in "ab":
+        files = list((tmp_path / folder / "transcripts").rglob("*.parquet"))
+        assert files and all(".zstd." in file.name for file in files)
