@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkgrain.llm.common import bloom_filter, in_bloom, mixed, pieces, text_key, written
+from talkgrain.llm.common import mixed, pieces, written
 from talkgrain.sources.scans import broadcast_if_small
 
 # Stand for the places before the first word and after the last.
@@ -47,7 +48,11 @@ def _trigrams(batches):
 def _discounts(counts: DataFrame) -> list[float]:
     """What is taken from counts of 1, 2 and more, by how many counts are 1, 2, 3 and 4."""
     of = [F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
-    n1, n2, n3, n4 = (max(1, x) for x in counts.agg(*of).first())
+    return _discounts_by(*counts.agg(*of).first())
+
+
+def _discounts_by(*numbers: int) -> list[float]:
+    n1, n2, n3, n4 = (max(1, int(x)) for x in numbers)
     y = n1 / (n1 + 2 * n2)
     raw = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
     return [min(k - 0.05, max(0.05, d)) for k, d in zip((1, 2, 3), raw)]
@@ -79,12 +84,6 @@ def _key(kind: int, *hashes: np.ndarray) -> np.ndarray:
     return key
 
 
-def _keys(tokens: np.ndarray) -> list[np.ndarray]:
-    """By kind, the keys that texts of ``_tokens`` look up, for each word and end."""
-    a, b, c = tokens[:-2], tokens[1:-1], tokens[2:]
-    return [_key(_WORD, c), _key(_WORD_BACK, b), _key(_PAIR, b, c), _key(_PAIR_BACK, a, b), _key(_TRIPLE, a, b, c)]
-
-
 class Lookup:
     """Log-probabilities as sums: ``values`` by sorted ``keys``, 0 where there is none.
 
@@ -309,14 +308,20 @@ def _together(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarr
 def _scored_in_scan(source: DataFrame, tables: list[DataFrame], unseen: float, schema: str) -> DataFrame:
     """Scores by looking up the broadcast tables, a place at a time."""
     shared = source.sparkSession.sparkContext.broadcast((*_arrays(tables), unseen))
+    return source.drop("_key").mapInArrow(_scorer(lambda: Lookup(*shared.value).score, _verdict_batch), schema)
+
+
+def _scorer(scores: Callable[[], Callable], result: Callable[..., pa.RecordBatch]) -> Callable:
+    """Passes each batch to ``result``, with the number of places, score and alarm of its texts.
+    What ``scores`` makes in a worker is like ``Lookup.score``."""
 
     def rows(batches):
-        model = Lookup(*shared.value)
+        score_of = scores()
         for batch in batches:
             total, sizes, alarms = [], [], []
             for _, tokens, lengths in _together(batch):
                 # One look-up for many texts; places that reach over two of them are left out.
-                score, alarm = model.score(tokens)
+                score, alarm = score_of(tokens)
                 ends = np.cumsum(lengths)
                 sums = np.concatenate([[0.0], np.cumsum(score, dtype=np.float64)])
                 total.append(sums[ends - 2] - sums[ends - lengths])
@@ -330,9 +335,9 @@ def _scored_in_scan(source: DataFrame, tables: list[DataFrame], unseen: float, s
             size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
             score = np.concatenate(total) if total else np.zeros(0)
             alarm = np.concatenate(alarms) if alarms else np.zeros(0)
-            yield _verdict_batch(batch, size, score, alarm)
+            yield result(batch, size, score, alarm)
 
-    return source.drop("_key").mapInArrow(rows, schema)
+    return rows
 
 
 def _verdict_batch(batch, size, score, alarm) -> pa.RecordBatch:
@@ -349,59 +354,482 @@ def _verdict_batch(batch, size, score, alarm) -> pa.RecordBatch:
     )
 
 
-def _scored_by_joins(source: DataFrame, table: DataFrame, unseen: float, most_bits: int) -> DataFrame:
-    """Scores by joining the counted keys of each text to the table, both sharded by key.
+# ------------------------------------------------------------------- models beyond a broadcast
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark deletes what a query has shuffled when the query ends, not some time later."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _chunks(batches, most: int = 1 << 20, most_texts: int = 30_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The texts of a partition in chunks of ``most`` words, one text at least: their ``_key``, all
+    tokens in a row, and the number of each text."""
+    names, tokens, size = [], [], 0
+    for batch in pieces(batches):
+        for name, text in zip(batch.column("_key").to_pylist(), batch.column("_text").to_pylist()):
+            names.append(name)
+            tokens.append(_tokens(text))
+            size += len(tokens[-1])
+            if size >= most or len(names) >= most_texts:
+                chunk = np.array(names, np.int64), np.concatenate(tokens), np.array([len(t) for t in tokens])
+                names, tokens, size = [], [], 0
+                yield chunk
+    if names:
+        yield np.array(names, np.int64), np.concatenate(tokens), np.array([len(t) for t in tokens])
+
+
+def _places(tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each word and end, the two words before, itself, and the number of its text."""
+    of = np.repeat(np.arange(len(lengths), dtype=np.uint16), lengths)
+    inside = of[:-2] == of[2:]
+    return tokens[:-2][inside], tokens[1:-1][inside], tokens[2:][inside], of[:-2][inside]
+
+
+@dataclass
+class _Deal:
+    """How runs of words are dealt to ``shards``, a ``rounds``-th of which are worked on at a time.
 
-    Keys that the table surely lacks add nothing and are dropped in the scan, by a Bloom filter of
-    bounded size. Texts are known by their hash, and equal ones are counted once.
+    A run of three goes by its middle word, so that it meets the pair it begins with and the pair it
+    ends with. The runs around a frequent word (``hot``, sorted) go to as many shards as ``ways``
+    says, by their first word. ``places`` is the number of words and ends that the model is fit on.
     """
-    spark = source.sparkSession
-    bloom = spark.sparkContext.broadcast(bloom_filter(table, "key", most_bits))
 
-    def grams(batches):
-        for batch in pieces(batches):
-            names = batch.column("_key").to_numpy()
-            for at, tokens, lengths in _together(batch):
-                of = np.repeat(np.arange(len(lengths)), lengths)
-                inside = of[:-2] == of[2:] if len(of) > 1 else np.zeros(0, bool)
-                for keys in _keys(tokens):
-                    held = inside & in_bloom(bloom.value, keys)
-                    pairs = np.stack([of[:-2][held].astype(np.uint64), keys[held]])
-                    found, n = np.unique(pairs, axis=1, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(names[at + found[0].astype(np.int64)]),
-                            pa.array(found[1].view(np.int64)),
-                            pa.array(n.astype(np.int64)),
-                        ],
-                        ["_key", "key", "n"],
-                    )
+    rounds: int
+    shards: int
+    places: int
+    hot: np.ndarray
+    ways: np.ndarray
 
-    def sizes(batches):
-        for batch in pieces(batches):
-            counts = [lengths - 2 for _, _, lengths in _together(batch)]
-            size = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            names = ["doc_id", "lang", "_key"]
+    def ways_of(self, b: np.ndarray) -> np.ndarray:
+        """0 where the word is not frequent."""
+        if not len(self.hot):
+            return np.zeros(len(b), np.uint64)
+        at = np.minimum(np.searchsorted(self.hot, b), len(self.hot) - 1)
+        return np.where(self.hot[at] == b, self.ways[at], np.uint64(0))
+
+    def shard(self, b: np.ndarray, way: np.ndarray | int = 0) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (mixed(b) + np.asarray(way, np.uint64)) % np.uint64(self.shards)
+
+    def middle(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The shard of the runs that have ``b`` between ``a`` and another word."""
+        ways = self.ways_of(b)
+        return self.shard(b, np.where(ways > 0, mixed(a) % np.maximum(ways, np.uint64(1)), np.uint64(0)))
+
+    def pair(self, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The shard, of those of one round, of the runs that end with a pair: none has many."""
+        return mixed(mixed(b) ^ c) % np.uint64(self.shards // self.rounds)
+
+
+def _deal(training: DataFrame, rounds: int) -> _Deal:
+    """As many shards a round as Spark is told to shuffle to. Words are frequent that would fill half
+    a shard; they are found among those that are frequent in some chunk."""
+    spark = training.sparkSession
+    shards = rounds * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def rows(batches):
+        for _, tokens, lengths in _chunks(batches):
+            _, b, _, _ = _places(tokens, lengths)
+            words, n = np.unique(b, return_counts=True)
+            often = n * 2 * shards > len(b)
+            words = [*words[often].view(np.int64).tolist(), None]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.int64()), pa.array([*n[often].tolist(), len(b)], pa.int64())], ["w", "n"]
+            )
+
+    found = _named(training).mapInArrow(rows, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    found = written(found, "frequent-words")
+    whole = found.where("w IS NULL").first()
+    places = whole["n"] if whole else 0
+    hot = found.where(F.expr("w IS NOT NULL") & (F.col("n") * 2 * shards > places)).toArrow()
+    words, n = hot["w"].to_numpy().view(np.uint64), hot["n"].to_numpy()
+    order = np.argsort(words)
+    ways = -(-n[order] * 2 * shards // max(1, places))
+    return _Deal(rounds, shards, places, words[order], np.minimum(ways, shards).astype(np.uint64))
+
+
+def _named(training: DataFrame) -> DataFrame:
+    return training.select(F.lit(0).cast("long").alias("_key"), F.col("_text").cast("binary").alias("_text"))
+
+
+def _runs(training: DataFrame, shard_of: Callable, in_round: int | None, rounds: int) -> DataFrame:
+    """The runs of three words of a chunk and their counts, a row a shard: ``runs`` are three rows of
+    hashes, ``n`` 32-bit counts, ``a`` is 3. Of all shards, or of those of one round."""
+
+    def rows(batches):
+        for _, tokens, lengths in _chunks(batches):
+            a, b, c, _ = _places(tokens, lengths)
+            shard = shard_of(a, b, c)
+            if in_round is not None:
+                held = shard % np.uint64(rounds) == in_round
+                a, b, c, shard = a[held], b[held], c[held], shard[held]
+            _, at, n = np.unique(_key(_TRIPLE, a, b, c), return_index=True, return_counts=True)
+            order = np.lexsort((b[at], shard[at]))
+            at, n = at[order], n[order].astype(np.uint32)
+            names, starts = np.unique(shard[at], return_index=True)
+            runs, ends = np.stack([a[at], b[at], c[at]]), [*starts[1:], len(at)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(size.astype(np.int64))], [*names, "n_tokens"]
+                [
+                    pa.array(names.astype(np.int32)),
+                    pa.array([3] * len(names), pa.int32()),
+                    pa.array([runs[:, s:e].tobytes() for s, e in zip(starts, ends)], pa.binary()),
+                    pa.array([n[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary()),
+                ],
+                ["shard", "words", "runs", "n"],
             )
 
+    return _named(training).mapInArrow(rows, _RUNS)
+
+
+_RUNS = "shard int, words int, runs binary, n binary"
+
+
+def _read_runs(table: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of so many words of a shard, a row a place in them, and their counts."""
+    rows = [r for r in table.select(["words", "runs", "n"]).to_pylist() if r["words"] == words]
+    runs = [np.frombuffer(r["runs"], np.uint64).reshape(words, -1) for r in rows]
+    n = [np.frombuffer(r["n"], np.uint32) for r in rows]
+    none = np.zeros((words, 0), np.uint64)
+    return np.concatenate([none, *runs], axis=1), np.concatenate([np.zeros(0, np.uint32), *n]).astype(np.int64)
+
+
+def _sums(of: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """By group, the sum of counts, and how many are 1, 2 and more."""
+    kinds = np.minimum(n, 3)
+    return np.bincount(of, n, size), [np.bincount(of[kinds == k], minlength=size) for k in (1, 2, 3)]
+
+
+def _less(n: np.ndarray, d: list[float]) -> np.ndarray:
+    return n - np.array([0.0, *d])[np.minimum(n, 3)]
+
+
+def _distinct(runs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the distinct runs of three, the runs, and their counts."""
+    key, at, of = np.unique(_key(_TRIPLE, *runs), return_index=True, return_inverse=True)
+    return key, runs[:, at], np.bincount(of, n, len(key)).astype(np.int64)
+
+
+def _bits_at(key: np.ndarray, shard: np.ndarray, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word and bit of each key in the Bloom filters of the shards, of so many words (a power of two)."""
+    last, six, low = np.uint64(words - 1), np.uint64(6), np.uint64(63)
+    for shift in (0, 32):
+        k = key >> np.uint64(shift)
+        yield shard * np.uint64(words) + ((k >> six) & last), np.uint64(1) << (k & low)
+
+
+def _known(bloom: np.ndarray, words: int, key: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    found = np.ones(len(key), bool)
+    for at, bit in _bits_at(key, shard, words):
+        found &= (bloom[at] & bit) != 0
+    return found
+
+
+# What a row of the counts tells: of a word as the last of a pair, of one as the first, how many runs
+# of three and of two have which count, a pair with a frequent first word, the Bloom filter of a shard.
+_LAST, _FIRST, _OF_THREE, _OF_TWO, _HOT, _BLOOM = range(6)
+_COUNTS = "kind int, w long, x long, n long, k1 long, k2 long, k3 long, bits binary"
+
+
+def _counts(training: DataFrame, deal: _Deal, bloom_words: int) -> DataFrame:
+    """One count of all runs, for what must be known of the whole before a value of one is."""
+
+    def rows(table: pa.Table) -> pa.Table:
+        shard = np.uint64(table["shard"][0].as_py())
+        _, (_, b, c), n = _distinct(*_read_runs(table, 3))
+        pair, at, before = np.unique(_key(_PAIR, b, c), return_index=True, return_counts=True)
+        b, c = b[at], c[at]
+        last, times = np.unique(c, return_counts=True)
+        first, of = np.unique(b, return_inverse=True)
+        total, by = _sums(of, before, len(first))
+        hot = deal.ways_of(b) > 0
+        bloom = np.zeros(bloom_words, np.uint64)
+        for at, bit in _bits_at(pair, np.uint64(0), bloom_words):
+            np.bitwise_or.at(bloom, at, bit)
+        parts = [
+            (_LAST, last, None, times, None, None, None, None),
+            (_FIRST, first, None, total, *by, None),
+            *((kind, np.zeros(1, np.uint64), None, *([np.sum(x == k)] for k in (1, 2, 3, 4)), None) for kind, x in ((_OF_THREE, n), (_OF_TWO, before))),
+            (_HOT, b[hot], c[hot].view(np.int64), before[hot], None, None, None, None),
+            (_BLOOM, np.array([shard]), None, None, None, None, None, [bloom.tobytes()]),
+        ]
+        kinds = [pa.int32(), *[pa.int64()] * 6, pa.binary()]
+        names = ["kind", "w", "x", "n", "k1", "k2", "k3", "bits"]
+        tables = []
+        for kind, w, *more in parts:
+            columns = [np.full(len(w), kind), w.view(np.int64), *more]
+            arrays = [pa.nulls(len(w), t) if x is None else pa.array(x if isinstance(x, list) else x.astype(np.int64), t) for x, t in zip(columns, kinds)]
+            tables.append(pa.Table.from_arrays(arrays, names))
+        return pa.concat_tables(tables)
+
+    runs = _runs(training, lambda a, b, c: deal.pair(b, c), None, deal.rounds)
+    found = runs.groupBy("shard").applyInArrow(rows, _COUNTS)
+    # A word is in many shards.
+    return written(found.groupBy("kind", "w", "x", "bits").agg(*(F.sum(c).alias(c) for c in ("n", "k1", "k2", "k3"))), "counts")
+
+
+def _scored_in_shards(source: DataFrame, training: DataFrame, bad: Model | None, deal: _Deal, most_bits: int) -> DataFrame:
+    """Scores of a model of any size: documents ask its shards for what their n-grams add.
+
+    One count of all runs gives the discounts, the values of the words, which go to the documents,
+    and a Bloom filter of the pairs of bounded size. Then, round by round, a part of the shards
+    is counted again, makes the values of its runs and adds them up for the texts that asked, which is
+    all that stays of a round. Chunks of texts send a shard each run they may share with it once.
+    """
+    spark = source.sparkSession
+    size = 1
+    # About 8 bits a pair.
+    while 2 * size * 64 * (deal.shards // deal.rounds) <= min(8 * deal.places, most_bits):
+        size *= 2
+    counts = _counts(training, deal, size)
+    of_orders = counts.where(F.col("kind").isin(_OF_THREE, _OF_TWO)).select("kind", "n", "k1", "k2", "k3")
+    of = {kind: numbers for kind, *numbers in of_orders.collect()}
+    d3, d2 = _discounts_by(*of[_OF_THREE]), _discounts_by(*of[_OF_TWO])
+    n = F.col("n")
+    sums = [F.sum(F.when(F.col("kind") == kind, n)).alias(c) for kind, c in ((_LAST, "n"), (_FIRST, "total"))]
+    sums += [F.sum(k).alias(k) for k in ("k1", "k2", "k3")]
+    words = counts.where(F.col("kind").isin(_LAST, _FIRST)).groupBy("w").agg(*sums).toArrow()
+    got = {c: words[c].combine_chunks().fill_null(0).to_numpy() for c in words.column_names}
+    order = np.argsort(got["w"].view(np.uint64))
+    got = {c: x[order] for c, x in got.items()}
+    word, before, total = got["w"].view(np.uint64), got["n"], got["total"]
+    d1 = _discounts_by(*(np.sum(before == k) for k in (1, 2, 3, 4)))
+    whole = before.sum()
+    flat = sum(d * np.sum(np.minimum(before, 3) == k) for k, d in zip((1, 2, 3), d1)) / whole / (np.sum(before > 0) + 1)
+    unseen = math.log(flat)
+    left = sum(d * got[f"k{k}"] for k, d in zip((1, 2, 3), d2))
+    back = np.where(total > 0, left / np.maximum(total, 1), 1.0)
+
+    def p1(before: np.ndarray) -> np.ndarray:
+        """Of a word that has so many before it."""
+        return _less(before.astype(np.int64), d1) / whole + flat
+
+    alarms = (np.zeros(0, np.uint64), np.zeros(0))
+    if bad is not None:
+        toxic = bad.words.toArrow()
+        key, value = toxic["key"].to_numpy().view(np.uint64), toxic["v"].to_numpy()
+        order = np.argsort(key)
+        alarms = key[order], value[order] + bad.unseen
+    shared = spark.sparkContext.broadcast((word, before.astype(np.uint32), total.astype(np.uint32), back, alarms))
+
+    def scores() -> Callable:
+        word, before, _, back, alarms = shared.value
+
+        def score(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Of the words alone: of places and what they add as contexts."""
+            here, of = np.unique(tokens, return_inverse=True)
+            at = np.minimum(np.searchsorted(word, here), len(word) - 1)
+            found = word[at] == here
+            value = np.log(p1(np.where(found, before[at], 0)))
+            context = np.log(np.where(found, back[at], 1.0))
+            alarm, alarming = Lookup.find(alarms, _key(_WORD, here))
+            alarm = np.where(alarming, alarm - value, -np.inf)
+            return value[of[2:]] + context[of[1:-1]], alarm[of[2:]]
+
+        return score
+
     kind = source.schema["doc_id"].dataType.simpleString()
-    rows = written(source.mapInArrow(sizes, f"doc_id {kind}, lang string, _key long, n_tokens long"), "lengths")
-    counted = source.select("_key", "_text").mapInArrow(grams, "_key long, key long, n long")
-    summed = counted.join(table, "key").groupBy("_key").agg(
-        F.sum(F.col("n") * F.col("v")).alias("s"), F.max("r").alias("alarm")
-    )
+
+    def alone(batch, size, score, alarm) -> pa.RecordBatch:
+        alarm = alarm.astype(np.float64)
+        values = [pa.array(size.astype(np.int64)), pa.array(score), pa.array(alarm, mask=np.isneginf(alarm))]
+        names = ["doc_id", "lang", "_key"]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *values], [*names, "n_tokens", "score", "alarm"])
+
+    schema = f"doc_id {kind}, lang string, _key long, n_tokens long, score double, alarm double"
+    rows = written(source.mapInArrow(_scorer(scores, alone), schema), "words-alone")
+
+    # The longer runs.
+    blooms = np.zeros((deal.shards // deal.rounds, size), np.uint64)
+    for row in counts.where(F.col("kind") == _BLOOM).select("w", "bits").toLocalIterator():
+        blooms[row["w"]] = np.frombuffer(row["bits"], np.uint64)
+    bloom = spark.sparkContext.broadcast(blooms.reshape(-1))
+    answers = []
+    for number in range(deal.rounds):
+        runs = _runs(training, lambda a, b, c: deal.middle(a, b), number, deal.rounds)
+        shard = runs.unionByName(_hot_pairs(counts, deal, number))
+        asked = _asked(source.select("_key", "_text"), deal, bloom, size, number)
+        told = shard.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_teller(shared, p1, deal, d2, d3), _TOLD)
+        answers.append(written(told.groupBy("chunk").applyInArrow(_added, "_key long, s double"), "answers"))
+    summed = reduce(DataFrame.unionByName, answers).groupBy("_key").agg(F.sum("s").alias("s"))
+    # Rows of one id and text have one sum, in which each of them is counted.
     copies = rows.groupBy("_key").agg(F.count("*").alias("copies"))
-    by_text = summed.join(copies, "_key").select(
-        F.col("_key").alias("_k"), (F.col("s") / F.col("copies")).alias("s"), "alarm"
-    )
-    score = F.coalesce("s", F.lit(0.0)) + unseen * F.col("n_tokens")
+    by_text = summed.join(copies, "_key").select(F.col("_key").alias("_k"), (F.col("s") / F.col("copies")).alias("s"))
+    score = F.col("score") + F.coalesce("s", F.lit(0.0))
     return rows.join(by_text, F.col("_key") == F.col("_k"), "left").select(
         "doc_id", "lang", "n_tokens", F.exp(-score / F.col("n_tokens")).alias("perplexity"), "alarm"
     )
 
 
+def _hot_pairs(counts: DataFrame, deal: _Deal, in_round: int) -> DataFrame:
+    """The pairs that begin with a frequent word, whose counts no shard has in whole, for each of its
+    shards of a round."""
+
+    def rows(batches):
+        for batch in batches:
+            b, c = (batch.column(x).to_numpy().view(np.uint64) for x in ("w", "x"))
+            n, ways = batch.column("n").to_numpy().astype(np.uint32), deal.ways_of(b)
+            for way in range(int(ways.max(initial=0))):
+                shard = deal.shard(b, way)
+                held = (ways > way) & (shard % np.uint64(deal.rounds) == in_round)
+                for name in np.unique(shard[held]).tolist():
+                    at = held & (shard == name)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([name], pa.int32()),
+                            pa.array([2], pa.int32()),
+                            pa.array([np.stack([b[at], c[at]]).tobytes()], pa.binary()),
+                            pa.array([n[at].tobytes()], pa.binary()),
+                        ],
+                        ["shard", "words", "runs", "n"],
+                    )
+
+    return counts.where(F.col("kind") == _HOT).select("w", "x", "n").mapInArrow(rows, _RUNS)
+
+
+_ASKED = "shard int, chunk long, names binary, keys binary, texts binary"
+# Is added to the number of the first text of each key.
+_NEXT = np.uint16(1 << 15)
+
+
+def _short(key: np.ndarray) -> np.ndarray:
+    """48 bits of a key, which tell it from the others of a shard."""
+    return key >> np.uint64(16)
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """The last six bytes of sorted keys, the highest of all first: Spark presses those well."""
+    return keys.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(6, -1).T
+    return out.view(">u8").reshape(-1).astype(np.uint64)
+
+
+def _asked(source: DataFrame, deal: _Deal, bloom, bloom_words: int, in_round: int) -> DataFrame:
+    """What chunks ask the shards of a round: each key once, and the texts that have it, by number.
+    One row of a chunk has the ``_key`` of its texts too."""
+
+    def rows(batches):
+        for names, tokens, lengths in _chunks(batches):
+            a, b, c, of = _places(tokens, lengths)
+            shard = deal.middle(a, b)
+            held = shard % np.uint64(deal.rounds) == in_round
+            a, b, c, of, shard = a[held], b[held], c[held], of[held], shard[held]
+            pair, at = _key(_PAIR, b, c), deal.pair(b, c)
+            known = _known(bloom.value, bloom_words, pair, at)
+            # A pair that was seen is a context too, and where a text begins there is one.
+            context = (a == _BEGIN) & (b == _BEGIN)
+            context |= _known(bloom.value, bloom_words, _key(_PAIR, a, b), deal.pair(a, b))
+            both = known & context
+            wanted = [
+                (pair[known], known),
+                (_key(_PAIR_BACK, a[context], b[context]), context),
+                (_key(_TRIPLE, a[both], b[both], c[both]), both),
+            ]
+            # Sorted by shard of the round, then by key.
+            place = shard // np.uint64(deal.rounds) << np.uint64(48)
+            key = np.concatenate([place[held] | _short(k) for k, held in wanted])
+            order = np.argsort(key)
+            key, text = key[order], np.concatenate([of[held] for _, held in wanted])[order]
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            starts = np.flatnonzero(new)
+            text[starts] += _NEXT
+            key = key[starts]
+            chunk = xxhash.xxh3_64_intdigest(names.tobytes())
+            carrier = chunk % (deal.shards // deal.rounds) * deal.rounds + in_round
+            chunk -= chunk >> 63 << 64
+            found, at = np.unique(key >> np.uint64(48), return_index=True)
+            at, places = [*at, len(key)], [*starts, len(text)]
+            sent = [
+                (int(s) * deal.rounds + in_round, None, _packed(key[x:y]), text[places[x] : places[y]].tobytes())
+                for s, x, y in zip(found, at, at[1:])
+            ]
+            sent.append((carrier, names.tobytes(), b"", b""))
+            shards, *parts = zip(*sent)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shards, pa.int32()),
+                    pa.array([chunk] * len(sent), pa.int64()),
+                    *(pa.array(p, pa.binary()) for p in parts),
+                ],
+                ["shard", "chunk", "names", "keys", "texts"],
+            )
+
+    return source.mapInArrow(rows, _ASKED)
+
+
+_TOLD = "chunk long, names binary, texts binary, sums binary"
+
+
+def _teller(words, p1: Callable, deal: _Deal, d2: list[float], d3: list[float]) -> Callable:
+    """Makes the values of the runs of a shard and adds them up for the texts that asked."""
+
+    def model(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        word, befores, total, back, _ = words.value
+        triple, (a, b, c), n = _distinct(*_read_runs(table, 3))
+        (hot_b, hot_c), hot_n = _read_runs(table, 2)
+        # Pairs: those of a frequent word have been counted before.
+        own = np.flatnonzero(deal.ways_of(b) == 0)
+        pair, at, before = np.unique(_key(_PAIR, b[own], c[own]), return_index=True, return_counts=True)
+        pair, at_hot = np.concatenate([pair, _key(_PAIR, hot_b, hot_c)]), own[at]
+        first, last = np.concatenate([b[at_hot], hot_b]), np.concatenate([c[at_hot], hot_c])
+        before = np.concatenate([before, hot_n])
+        order = np.argsort(pair)
+        pair, first, last, before = pair[order], first[order], last[order], before[order]
+        # Each of these words is in the table.
+        first, last = np.searchsorted(word, first), np.searchsorted(word, last)
+        without = back[first] * p1(befores[last])
+        p2 = _less(before, d2) / total[first] + without
+        # Contexts of two words.
+        context, of = np.unique(_key(_PAIR_BACK, a, b), return_inverse=True)
+        sums, by = _sums(of, n, len(context))
+        left = sum(d * k for d, k in zip(d3, by)) / np.maximum(sums, 1)
+        less = left[of] * p2[np.searchsorted(pair, _key(_PAIR, b, c))] if len(n) else np.zeros(0)
+        ratio = 1 + _less(n, d3) / np.maximum(sums, 1)[of] / less
+        keys = _short(np.concatenate([pair, context, triple]))
+        found = np.concatenate([np.log(p2 / without), np.log(left), np.log(ratio)])
+        order = np.argsort(keys)
+        return keys[order], found[order]
+
+    def rows(shard: pa.Table, asked: pa.Table) -> pa.Table:
+        made = model(shard) if asked.num_rows else None
+        out = []
+        for row in asked.to_pylist():
+            value, _ = Lookup.find(made, _unpacked(row["keys"]))
+            text = np.frombuffer(row["texts"], np.uint16)
+            of_key = np.cumsum(text >= _NEXT) - 1
+            names, of = np.unique(text % _NEXT, return_inverse=True)
+            sums = np.bincount(of, value[of_key], len(names))
+            out.append((row["chunk"], row["names"], names.tobytes(), sums.astype(np.float32).tobytes()))
+        chunk, *parts = zip(*out) if out else [()] * 4
+        return pa.Table.from_arrays(
+            [pa.array(chunk, pa.int64()), *(pa.array(p, pa.binary()) for p in parts)], ["chunk", "names", "texts", "sums"]
+        )
+
+    return rows
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """The sums of a chunk by text."""
+    rows = table.to_pylist()
+    names = np.frombuffer(next(r["names"] for r in rows if r["names"] is not None), np.int64)
+    sums = np.zeros(len(names))
+    for row in rows:
+        sums[np.frombuffer(row["texts"], np.uint16)] += np.frombuffer(row["sums"], np.float32)
+    return pa.Table.from_arrays([pa.array(names), pa.array(sums)], ["_key", "s"])
+
+
 def judge_perplexity(
     docs: DataFrame,
     trusted: DataFrame,
@@ -410,6 +838,7 @@ def judge_perplexity(
     alarm_quantile: float = 0.99,
     most_broadcast: int = 64 << 20,
     most_bits: int = 1 << 28,
+    rounds: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
@@ -426,9 +855,9 @@ def judge_perplexity(
     has not seen, and a text is kept if neither is exceeded; a language without such documents uses
     all of its own.
 
-    Every document is scored. The model is a table of n-grams whose values add up. If it is measured
-    to take ``most_broadcast`` bytes or less, it goes to the documents; else the n-grams of the
-    documents are counted and joined to it, sharded by n-gram, with the same sums. A null or empty
+    Every document is scored. The model is a table of n-grams whose values add up. If it surely takes
+    ``most_broadcast`` bytes or less, it goes to the documents; else it is made and asked shard by
+    shard in ``rounds`` (see ``_scored_in_shards``), with the same sums. A null or empty
     text is the end alone, a long one is read whole; rows of one id or text are scored alike or by
     their own text. A null language is one of its own. Other columns are not read.
     """
@@ -438,25 +867,26 @@ def judge_perplexity(
 
     good = ids_of(trusted)
     # Ids of a hash that is not even are kept from the models.
-    model, bad = ngram_model(training_documents(docs, good, id_col, text_col), "_text"), None
-    if toxic is not None:
-        bad = word_model(training_documents(docs, ids_of(toxic), id_col, text_col), "_text")
-    tables = model_tables(model, bad)
+    training, bad = training_documents(docs, good, id_col, text_col), None
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(lang_col).cast("string").alias("lang"),
-        text_key(F.col(text_col)).alias("_key"),
+        F.xxhash64(id_col, text_col).alias("_key"),
         F.col(text_col).cast("binary").alias("_text"),
     )
     schema = f"doc_id {id_type}, lang string, n_tokens long, perplexity double, alarm double"
-    # A key and a value take 12 bytes.
-    if 12 * (model.rows + (bad.rows if bad else 0)) <= most_broadcast:
-        scored = _scored_in_scan(source, tables, model.unseen, schema)
-    else:
-        table = written(reduce(DataFrame.unionByName, tables), "model")
-        scored = _scored_by_joins(source, table, model.unseen, most_bits)
-    scored = written(scored, "perplexities")
+    with _shuffles_freed(docs.sparkSession):
+        if toxic is not None:
+            bad = word_model(training_documents(docs, ids_of(toxic), id_col, text_col), "_text")
+        deal = _deal(training, rounds)
+        # A place makes five keys at most, and a key and a value take 12 bytes.
+        if 60 * deal.places + 12 * (bad.rows if bad else 0) <= most_broadcast:
+            model = ngram_model(training, "_text")
+            scored = _scored_in_scan(source, model_tables(model, bad), model.unseen, schema)
+        else:
+            scored = _scored_in_shards(source, training, bad, deal, most_bits)
+        scored = written(scored, "perplexities")
     fresh = good.where(F.xxhash64("_id") % 2 != 0)
     unseen_good = scored.join(fresh, F.col("doc_id") == F.col("_id"), "semi")
     shares = {"perplexity": quantile, "alarm": alarm_quantile}

@@ -14,7 +14,7 @@ from conftest import ODD, SF_DIR
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from talkgrain.llm import kneser_ney
+from talkgrain.llm import common, kneser_ney
 from talkgrain.llm.kneser_ney import judge_perplexity, train_ngrams
 from talkgrain.llm.language import identify_languages, predict_languages, train_languages
 from talkgrain.llm.packing import best_fit, pack
@@ -304,3 +304,19 @@ def test_models_are_fit_on_all_documents_of_their_half(spark):
     # A word that was seen is likelier than one that was not.
     least = judged.agg(F.min("perplexity")).first()[0]
     assert judged.where(F.col("perplexity") < least * 1.001).count() == even
+
+
+def test_a_model_in_shards_is_not_written(spark, tmp_path, monkeypatch):
+    """Beyond a broadcast, only what words add is kept on disk, and frequent words have many shards."""
+    random.seed(9)
+    vocabulary = [f"w{i}" for i in range(1000)]
+    texts = [" ".join("the" if random.random() < 0.2 else random.choice(vocabulary) for _ in range(400)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(common, "shared_folder", lambda _, name: str(tmp_path / name))
+    found = judge_perplexity(docs, docs, docs.where("doc_id < 40"), most_broadcast=0).orderBy("doc_id").collect()
+    even = docs.where(F.xxhash64("doc_id") % 2 == 0).count()
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 24 * 401 * even
+    whole = judge_perplexity(docs, docs, docs.where("doc_id < 40")).orderBy("doc_id").collect()
+    for a, b in zip(found, whole, strict=True):
+        assert a["kept"] == b["kept"]
+        assert np.allclose([x or 0 for x in a[2:7]], [x or 0 for x in b[2:7]], rtol=1e-5)
